@@ -78,7 +78,7 @@ def _at_end(point) -> Column:
     return point("all_ct", "all_cc", "all_yt", "all_yc")
 
 
-def _first_defined(arms: DataFrame) -> DataFrame:
+def first_defined(arms: DataFrame) -> DataFrame:
     """Where each learner's lift and Qini begin, and their values there."""
     known = {"lift": lift_at(), "qini": qini_at()}
     aggregates = []
@@ -94,7 +94,7 @@ def _first_defined(arms: DataFrame) -> DataFrame:
 def _filled(arms: DataFrame, name: str, value: Column) -> DataFrame:
     """A curve value per row; the undefined head runs straight from 0 to the first value."""
     # One row per learner the caller named.
-    start = F.broadcast(_first_defined(arms).select("learner", f"{name}_from", f"{name}_first"))
+    start = F.broadcast(first_defined(arms).select("learner", f"{name}_from", f"{name}_first"))
     head = F.col(f"{name}_first") * F.col("i") / F.col(f"{name}_from")
     return (
         arms.join(start, "learner")
@@ -220,6 +220,15 @@ def average_effect(df: DataFrame) -> DataFrame:
     )
 
 
+def calibration(scores: DataFrame) -> DataFrame:
+    """Mean predicted uplift per learner and its gap to the observed effect."""
+    rate = {a: F.avg(F.when(F.col(TREATMENT) == a, F.col(OUTCOME))) for a in (0, 1)}
+    mean = F.avg("score")
+    return scores.groupBy("learner").agg(
+        mean.alias("mean_uplift"), (mean - (rate[1] - rate[0])).alias("gap")
+    )
+
+
 def incremental_curve(scores: DataFrame, key: str) -> DataFrame:
     """Extra outcomes when targeting the best i clients; 0 while an arm is empty."""
     extra = F.coalesce(lift_at() * F.col("i"), F.lit(0.0))

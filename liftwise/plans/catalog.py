@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from liftwise.plans import feature_queries, source_queries  # noqa: F401
+from liftwise.plans import (  # noqa: F401
+    feature_queries,
+    lift_queries,
+    rank_queries,
+    source_queries,
+)
 from liftwise.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -164,9 +164,10 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
         lambda e: e.isNotNull(),
     )
     customers = star.table(spark, folder, "customer")
-    record = F.struct(c.alias("at"), F.map_from_entries(fields).alias("record"))
+    record = F.struct(c.alias("at"), fields.alias("fields"))
     # A block never has more than 1,200 records, whatever the table size.
     blocks = customers.groupBy(block.alias("request")).agg(
         F.array_sort(F.collect_list(record)).alias("r")
     )
-    return blocks.select("request", F.col("r.record").alias("records"))
+    maps = F.transform("r.fields", F.map_from_entries)
+    return blocks.select("request", maps.alias("records"))

@@ -12,7 +12,7 @@ from liftwise.operators.features import history_cutoff
 from liftwise.plans import inputs
 from liftwise.plans.registry import query
 from liftwise.plans.sql import bucket as sql_bucket
-from liftwise.plans.sql import cte, with_
+from liftwise.plans.sql import long_values, profile_of, with_
 from liftwise.schemas import CLIENTS, KEY
 from liftwise.session import scratch
 from liftwise.sources import star_schema as star
@@ -151,44 +151,16 @@ def a10(spark, folder):
 
 
 PROFILED = ["age", "total_spend", "n_transactions", "days_issue_to_redeem"]
-cte(
-    "training_long",
-    f"""
-SELECT "column", value FROM training
-  UNPIVOT INCLUDE NULLS (value FOR "column" IN ({", ".join(PROFILED)}))
-""",
-    "training",
-)
-
-
-def _profile_sql(values: str) -> str:
-    """Edges by interpolated quantile, then every bin's share; the null bin is last."""
-    probs = ", ".join(repr(i * (1.0 / 10)) + "::DOUBLE" for i in range(1, 10))
-    return f"""
-SELECT e."column", b.bin, coalesce(c.n, 0)::DOUBLE / greatest(t.n, 1) AS share, e.edges
-FROM (SELECT "column", coalesce(list_sort(list_distinct(quantile_cont(value, [{probs}]))), [])
-    AS edges FROM {values} GROUP BY "column") e,
-  unnest(range(0, len(e.edges) + 2)) AS b(bin)
-JOIN (SELECT "column", count(*) AS n FROM {values} GROUP BY "column") t
-  ON t."column" = e."column"
-LEFT JOIN (SELECT v."column", CASE WHEN value IS NULL THEN len(edges) + 1
-      ELSE len(list_filter(edges, lambda x: x <= value)) END AS bin, count(*) AS n
-    FROM {values} v JOIN (SELECT "column", coalesce(list_sort(list_distinct(
-        quantile_cont(value, [{probs}]))), []) AS edges FROM {values} GROUP BY "column") q
-      ON q."column" = v."column" GROUP BY 1, 2) c
-  ON c."column" = e."column" AND c.bin = b.bin
-"""
-
-
-cte("training_profile", _profile_sql("training_long"), "training_long")
+long_values("training_some", "training", PROFILED)
+profile_of("training_some_profile", "training_some")
 
 
 @query(
     "a11_profile_json",
     with_(
-        "training_profile",
+        "training_some_profile",
         'SELECT "column", CAST(bin AS INTEGER) AS bin, round(share, 9) AS share '
-        "FROM training_profile",
+        "FROM training_some_profile",
     ),
 )
 def a11(spark, folder):
