@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from liftwise.plans import (  # noqa: F401
     feature_queries,
+    learner_queries,
     lift_queries,
+    monitor_queries,
     rank_queries,
     source_queries,
 )

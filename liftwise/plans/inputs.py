@@ -99,9 +99,8 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
     return long_scores(wide_scores(spark, folder), SCORES, KEY)
 
 
-def request_log(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per request: time, caller, latency, records, status, path and reason."""
-    events = star.table(spark, folder, "events")
+def as_requests(events: DataFrame) -> DataFrame:
+    """Events as requests: time, caller, latency, records, status, path and reason."""
     kind = F.col("event_type")
     path = F.when(kind == "view", "/health").when(kind == "click", "/wp-login.php")
     return events.select(
@@ -111,15 +110,16 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("value") / 1000.0).alias("seconds"),
         (1 + F.get_json_object("props", "$.k").cast("int")).alias("records"),
         F.when(kind == "error", 500).when(kind == "signup", 422).otherwise(200).alias("status"),
-        bounded_label(path_or_predict(path), PATHS).alias("path"),
+        bounded_label(path.otherwise("/predict"), PATHS).alias("path"),
         F.when(kind == "signup", "feature_mismatch")
         .when(kind == "error", "model_error")
         .alias("reason"),
     )
 
 
-def path_or_predict(path):
-    return F.coalesce(path, F.lit("/predict"))
+def request_log(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per request."""
+    return as_requests(star.table(spark, folder, "events"))
 
 
 def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
