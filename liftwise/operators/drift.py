@@ -11,10 +11,14 @@ from liftwise.functions.exprs import DRIFT_THRESHOLD
 from liftwise.operators.evaluate import TOP_SHARE, top_lift
 from liftwise.operators.rank import ranked
 from liftwise.schemas import OUTCOME, TREATMENT
+from liftwise.session import materialize
 
 BINS = 10
 MIN_SHARE = 1e-4
 SCORE = "uplift"
+# Rank error of the quantile sketch is 1/ACCURACY of the rows; MARGIN exceeds it.
+ACCURACY = 1000
+MARGIN = 0.003
 
 # Status bands, each the first value of the next color.
 PSI_BANDS = (0.1, 0.2)
@@ -30,20 +34,47 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*doubles).unpivot([], list(columns), "column", "value")
 
 
-def exact_quantiles(values: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(column, p, quantile) by linear interpolation between neighbors, exact at any size.
+def brackets(values: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, lows, highs): a narrow range of values around each quantile, from a
+    mergeable sketch whose rank error is below the margin left on both sides."""
+    lows = [max(p - MARGIN, 0.0) for p in probs]
+    highs = [min(p + MARGIN, 1.0) for p in probs]
+    return values.groupBy("column").agg(
+        F.percentile_approx("value", lows, ACCURACY).alias("lows"),
+        F.percentile_approx("value", highs, ACCURACY).alias("highs"),
+    )
+
 
-    Equal values combine before the shuffle, so a value holding a large share of
-    the rows is one row from there on; distinct values are then ranked globally.
+def _bracketed_counts(present: DataFrame, ranges: DataFrame, n_ranges: int) -> DataFrame:
+    """(column, value, outside, c): counts in value order from one pass.
+
+    A value inside a range is counted as itself. All values between two ranges
+    collapse into one count, placed right after the lower range.
     """
-    counts = (
-        values.where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("c"))
+    value, spots = F.col("value"), range(n_ranges)
+    low = [F.get("lows", F.lit(k)) for k in spots]
+    high = [F.get("highs", F.lit(k)) for k in spots]
+    inside = F.lit(False)
+    below = F.lit(float("-inf"))
+    for k in spots:
+        inside = inside | value.between(low[k], high[k])
+        below = F.when(value > high[k], high[k]).otherwise(below)
+    # One row per column.
+    placed = present.join(F.broadcast(ranges), "column").select(
+        "column",
+        F.when(inside, value).otherwise(below).alias("value"),
+        (~inside).alias("outside"),
     )
-    spans = ranked(counts, [F.col("value").asc()], by=["column"], sums=["c"]).select(
+    return placed.groupBy("column", "value", "outside").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _ranked_quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, p, quantile, found) from counts per value, ranked globally."""
+    order = [F.col("value").asc(), F.col("outside").asc()]
+    spans = ranked(counts, order, by=["column"], sums=["c"]).select(
         "column",
         "value",
+        "outside",
         (F.col("cum_c") - F.col("c")).alias("first"),
         F.col("cum_c").alias("after"),
         F.col("total_c").alias("n"),
@@ -65,7 +96,26 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float]) -> DataFrame:
     low = F.max(F.when(covers(F.floor(at)), F.col("value")))
     high = F.max(F.when(covers(F.ceil(at)), F.col("value")))
     weight = F.max(at - F.floor(at))
-    return hits.groupBy("column", "p").agg((low + (high - low) * weight).alias("quantile"))
+    return hits.groupBy("column", "p").agg(
+        (low + (high - low) * weight).alias("quantile"), (~F.bool_or("outside")).alias("found")
+    )
+
+
+def exact_quantiles(values: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, p, quantile) by linear interpolation between neighbors, exact at any size.
+
+    A sketch narrows each quantile down to a small range of values; only values in a
+    range are shuffled, combined and ranked, the others are just counted. Equal
+    values combine first, so a value holding a large share of the rows is one row.
+    Should a range miss its quantile, all values are ranked.
+    """
+    present = values.where(F.col("value").isNotNull())
+    narrow = _bracketed_counts(present, brackets(present, probs), len(probs))
+    out = materialize(_ranked_quantiles(narrow, probs))
+    if out.where(~F.col("found")).limit(1).count():
+        whole = present.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+        out = _ranked_quantiles(whole.withColumn("outside", F.lit(False)), probs)
+    return out.select("column", "p", "quantile")
 
 
 def edges(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
