@@ -276,14 +276,9 @@ def m2(spark, folder):
             arriving, inputs.REQUEST_FEATURES, f"{at}/ok", f"{at}/rejected", f"{at}/checkpoint"
         )
     )
-    sound = spark.read.parquet(f"{at}/ok").select(
-        "request",
-        F.lit(None).cast("string").alias("reason"),
-        F.lit(None).cast("string").alias("detail"),
-    )
-    return sound.unionByName(
-        spark.read.parquet(f"{at}/rejected").select("request", "reason", "detail")
-    )
+    # With the schema given, a side that got no request reads as empty.
+    answer = spark.read.schema("request string, reason string, detail string")
+    return answer.parquet(f"{at}/ok").unionByName(answer.parquet(f"{at}/rejected"))
 
 
 def _metrics(spark, folder, name, length, delay, slide=None):

@@ -102,8 +102,9 @@ def request_metrics(
 ) -> DataFrame:
     """(window_start, by, requests, mean_seconds, errors) per tumbling or sliding window.
 
-    On a stream, rows later than `delay` behind the newest are dropped and a window
-    comes out once the watermark has passed its end; on a batch all windows do.
+    On a stream, rows up to `delay` behind the newest count and a window comes out once
+    the watermark has passed its end; rows later than that are dropped from the batch
+    after on. On a batch all windows come out.
     """
     rows = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     if stream.isStreaming:
