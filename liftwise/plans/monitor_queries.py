@@ -277,8 +277,8 @@ def m2(spark, folder):
         )
     )
     # With the schema given, a side that got no request reads as empty.
-    answer = spark.read.schema("request string, reason string, detail string")
-    return answer.parquet(f"{at}/ok").unionByName(answer.parquet(f"{at}/rejected"))
+    answer = spark.read.schema("request string, reason string, detail string, batch int")
+    return answer.parquet(f"{at}/ok").unionByName(answer.parquet(f"{at}/rejected")).drop("batch")
 
 
 def _metrics(spark, folder, name, length, delay, slide=None):
