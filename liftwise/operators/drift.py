@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwise.functions.exprs import DRIFT_THRESHOLD
@@ -159,17 +159,16 @@ def bin_shares(
     df: DataFrame, cuts: DataFrame, columns: Sequence[str], bins: int = BINS
 ) -> DataFrame:
     """(column, bin, share) of every bin, empty ones and the null bin included."""
-    counts = bin_counts(df, cuts, columns, bins)
-    totals = counts.groupBy("column").agg(F.sum("count").alias("rows"))
     every = cuts.where(F.col("column").isin(*columns)).select(
         "column", F.explode(F.sequence(F.lit(0), F.size("edges") + 1)).alias("bin")
     )
-    rows = F.greatest(F.coalesce(F.col("rows"), F.lit(0)), F.lit(1))
-    return (
-        every.join(counts, ["column", "bin"], "left")
-        .join(totals, "column", "left")
-        .select("column", "bin", (F.coalesce(F.col("count"), F.lit(0)) / rows).alias("share"))
+    counts = every.join(bin_counts(df, cuts, columns, bins), ["column", "bin"], "left").select(
+        "column", "bin", F.coalesce("count", F.lit(0)).alias("count")
     )
+    # At most bins + 2 rows per column from here on.
+    rows = F.sum("count").over(Window.partitionBy("column"))
+    share = F.col("count") / F.greatest(rows, F.lit(1))
+    return counts.select("column", "bin", share.alias("share"))
 
 
 def profile(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:

@@ -35,32 +35,27 @@ def running_arms(scores: DataFrame, key: str) -> DataFrame:
     """Per learner and rank i: clients and outcomes so far of each arm.
 
     ct, cc count treated and control clients; yt, yc sum their outcomes; n is the
-    learner's number of rows.
+    learner's number of rows; all_* are the totals.
     """
-    treated = F.col(TREATMENT) == 1
-    arms = scores.select(
-        "learner",
-        key,
-        "score",
-        TREATMENT,
-        OUTCOME,
-        treated.cast("bigint").alias("ct"),
-        (~treated).cast("bigint").alias("cc"),
-        F.when(treated, F.col(OUTCOME)).otherwise(0).cast("bigint").alias("yt"),
-        F.when(treated, 0).otherwise(F.col(OUTCOME)).cast("bigint").alias("yc"),
-    )
-    sums = ["ct", "cc", "yt", "yc"]
-    out = running_totals(arms, "score", key, sums, by=["learner"])
+    treated = (F.col(TREATMENT) == 1).cast("bigint")
+    outcome = F.col(OUTCOME).cast("bigint")
+    sums = {"ct": treated, "yt": treated * outcome, "y": outcome}
+    narrow = scores.select("learner", key, "score", TREATMENT, OUTCOME)
+    out = running_totals(narrow, "score", key, sums, by=["learner"])
+    c = F.col
+    # The control arm is what the treated arm leaves.
     return out.select(
-        "learner",
-        key,
-        "score",
-        TREATMENT,
-        OUTCOME,
-        F.col("rank").alias("i"),
-        F.col("group_size").alias("n"),
-        *[F.col(f"cum_{c}").alias(c) for c in sums],
-        *[F.col(f"total_{c}").alias(f"all_{c}") for c in sums],
+        *narrow.columns,
+        c("rank").alias("i"),
+        c("group_size").alias("n"),
+        c("cum_ct").alias("ct"),
+        (c("rank") - c("cum_ct")).alias("cc"),
+        c("cum_yt").alias("yt"),
+        (c("cum_y") - c("cum_yt")).alias("yc"),
+        c("total_ct").alias("all_ct"),
+        (c("group_size") - c("total_ct")).alias("all_cc"),
+        c("total_yt").alias("all_yt"),
+        (c("total_y") - c("total_yt")).alias("all_yc"),
     )
 
 

@@ -8,7 +8,7 @@ one row per slice and group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,22 +17,26 @@ from liftwise.functions.hashing import uniform
 from liftwise.session import materialize
 
 SLICE = "_slice"
+BROADCAST_ROWS = 10_000
 
 
 def ranked(
     df: DataFrame,
     order: Sequence[Column],
     by: Sequence[str] = (),
-    sums: Sequence[str] = (),
+    sums: Mapping[str, Column] | Sequence[str] = (),
 ) -> DataFrame:
     """Add the 1-based `rank` in `order` within each group of `by`, the group's
-    `group_size`, and for every column of `sums` its running total `cum_<c>` up to and
-    including the row and its group total `total_<c>`.
+    `group_size`, and for every entry of `sums` (columns, or expressions by name) its
+    running total `cum_<name>` up to and including the row and its group total
+    `total_<name>`.
 
     `order` must be a total order and `by` free of nulls. Groups may be of any size.
+    Pass only the columns needed: rows are shuffled twice.
     """
     by = list(by)
     columns = df.columns
+    sums = dict(sums) if isinstance(sums, Mapping) else {c: F.col(c) for c in sums}
     slices = materialize(
         df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn(
             SLICE, F.spark_partition_id()
@@ -44,20 +48,22 @@ def ranked(
         *columns,
         SLICE,
         F.row_number().over(within).alias("_rank"),
-        *[F.sum(c).over(running).alias(f"_sum_{c}") for c in sums],
+        *[F.sum(x).over(running).alias(f"_sum_{name}") for name, x in sums.items()],
     )
     totals = slices.groupBy(*by, SLICE).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_all_{c}") for c in sums]
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(x).alias(f"_all_{name}") for name, x in sums.items()],
     )
     group = Window.partitionBy(*by)
     before = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = {name: F.sum(f"_all_{name}").over(before) for name in sums}
     offsets = totals.select(
         *by,
         SLICE,
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.sum("_rows").over(group).alias("group_size"),
-        *[F.coalesce(F.sum(f"_all_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
-        *[F.sum(f"_all_{c}").over(group).alias(f"total_{c}") for c in sums],
+        *[F.coalesce(x, F.lit(0)).alias(f"_before_{name}") for name, x in earlier.items()],
+        *[F.sum(f"_all_{name}").over(group).alias(f"total_{name}") for name in sums],
     )
     # No broadcast hint: the window already holds the rows by (group, slice), so
     # the join adds no exchange to the large side.
@@ -65,8 +71,8 @@ def ranked(
         *columns,
         (F.col("_rank") + F.col("_rows_before")).alias("rank"),
         "group_size",
-        *[(F.col(f"_sum_{c}") + F.col(f"_before_{c}")).alias(f"cum_{c}") for c in sums],
-        *[f"total_{c}" for c in sums],
+        *[(F.col(f"_sum_{name}") + F.col(f"_before_{name}")).alias(f"cum_{name}") for name in sums],
+        *[f"total_{name}" for name in sums],
     )
 
 
@@ -76,7 +82,11 @@ def best_first(score: str, key: str) -> list[Column]:
 
 
 def running_totals(
-    df: DataFrame, score: str, key: str, sums: Sequence[str] = (), by: Sequence[str] = ()
+    df: DataFrame,
+    score: str,
+    key: str,
+    sums: Mapping[str, Column] | Sequence[str] = (),
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """`ranked` by score, best first."""
     return ranked(df, best_first(score, key), by, sums)
@@ -102,39 +112,45 @@ def sorted_by_score(df: DataFrame, score: str, key: str) -> DataFrame:
     return df.orderBy(*best_first(score, key))
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A table to broadcast if it has few rows; a large one joins by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def hash_thresholds(
     df: DataFrame, key: str, seed: int, quotas: DataFrame, by: Sequence[str]
 ) -> DataFrame:
     """Where to cut each group so that exactly `quota` rows have the smallest keyed hash.
 
-    `quotas` holds `by`, `n` and `quota`, one row per group, and the result adds the
-    last chosen (`cut_u`, `cut_key`). Hashes are uniform, so the cut lies close to
-    quota/n: only the rows of that narrow band are ranked, and the rows below it are
-    just counted. Should a band miss its cut, all rows are ranked instead.
+    `quotas` holds `by`, `n` and `quota`, one row per group; the result has `by` and
+    the last chosen row (`cut_u`, `cut_key`), ready to join. Hashes are uniform, so the
+    cut lies close to quota/n: only the rows of that narrow band are ranked, and the
+    rows below it are just counted. Should a band miss its cut, all rows are ranked.
     """
     by = list(by)
+    quotas = materialize(quotas.where("quota > 0"))
+    groups = quotas.count()
     hashed = df.select(*by, F.col(key).alias("_key"), uniform(F.col(key), seed).alias("_u"))
     share = F.col("quota") / F.col("n")
     margin = 6.0 / F.sqrt(F.col("n").cast("double"))
 
     def cuts(low: Column, high: Column) -> DataFrame:
-        bands = quotas.where("quota > 0").withColumns({"_low": low, "_high": high})
-        # One row per group of `by`, the caller's strata: small by construction.
-        near = hashed.join(F.broadcast(bands), by)
+        bands = quotas.withColumns({"_low": low, "_high": high})
+        near = hashed.join(small(bands, groups), by)
         below = near.groupBy(*by).agg(F.count_if(F.col("_u") < F.col("_low")).alias("_below"))
         band = near.where((F.col("_u") >= F.col("_low")) & (F.col("_u") < F.col("_high")))
         order = [F.col("_u").asc(), F.col("_key").asc()]
         in_band = ranked(band.select(*by, "quota", "_u", "_key"), order, by)
-        return (
-            in_band.join(F.broadcast(below), by)
+        return materialize(
+            in_band.join(small(below, groups), by)
             .where(F.col("rank") + F.col("_below") == F.col("quota"))
             .select(*by, F.col("_u").alias("cut_u"), F.col("_key").alias("cut_key"))
         )
 
-    found = materialize(cuts(share - margin, share + margin))
-    if found.count() < quotas.where("quota > 0").count():
-        found = materialize(cuts(F.lit(0.0), F.lit(1.0)))
-    return found
+    found = cuts(share - margin, share + margin)
+    if found.count() < groups:
+        found = cuts(F.lit(0.0), F.lit(1.0))
+    return small(found, groups)
 
 
 def chosen(key: str, seed: int) -> Column:

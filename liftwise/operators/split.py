@@ -35,7 +35,7 @@ def largest_remainder(counts: DataFrame, strata: Sequence[str], share: float) ->
 def _choose(df: DataFrame, key: str, strata: Sequence[str], quotas: DataFrame, seed: int):
     """(rows with the cut of their stratum, whether each is chosen)"""
     cuts = hash_thresholds(df, key, seed, quotas, strata)
-    return df.join(F.broadcast(cuts), list(strata), "left"), chosen(key, seed)
+    return df.join(cuts, list(strata), "left"), chosen(key, seed)
 
 
 def stratified_split(
