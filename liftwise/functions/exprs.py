@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 SECONDS_PER_DAY = 86400.0
 UNITS = 10_000
 DRIFT_THRESHOLD = 0.2
+# Registry URIs and the version number that pins one.
+REGISTRY = "models:"
+VERSIONED = "/[0-9]+/*$"
 
 
 def within(value: Column, low, high) -> Column:
@@ -143,4 +146,4 @@ def parse_record(text: Column) -> Column:
 def is_pinned(uri: Column) -> Column:
     """True when a model URI cannot be repointed: not a registry URI, or one whose
     last path part is a version number."""
-    return ~uri.startswith("models:") | uri.rlike("/[0-9]+/*$")
+    return ~uri.startswith(REGISTRY) | uri.rlike(VERSIONED)

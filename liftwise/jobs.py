@@ -1,11 +1,12 @@
 """The jobs of a campaign, in order, each reading what the one before stored.
 
-    spark-submit -m liftwise.jobs ingest   --raw RAW --out STORE --num-shards 8
-    spark-submit -m liftwise.jobs features --store STORE --out FEATURES --num-shards 8
-    spark-submit -m liftwise.jobs train    --features FEATURES --models MODELS --runs RUNS
-    spark-submit -m liftwise.jobs score    --features FEATURES --models MODELS --version 1 --out SCORES
-    spark-submit -m liftwise.jobs scenario missing --features FEATURES --out BATCH
-    spark-submit -m liftwise.jobs drift    REFERENCE BATCH --window missing --publish METRICS
+    python -m liftwise.jobs ingest   --raw RAW --out STORE --num-shards 8
+    python -m liftwise.jobs features --store STORE --out FEATURES --num-shards 8
+    python -m liftwise.jobs train    --features FEATURES --models MODELS --runs RUNS
+    python -m liftwise.jobs score    --features FEATURES --models MODELS --version 1 --out SCORES
+    python -m liftwise.jobs sample   SCORES --out TEXT
+    python -m liftwise.jobs scenario missing --features FEATURES --out BATCH
+    python -m liftwise.jobs drift    REFERENCE BATCH --window missing --publish METRICS
 """
 
 from __future__ import annotations
@@ -24,7 +25,12 @@ from liftwise.operators.evaluate import best_learner, qini_curve, wide_curve
 from liftwise.operators.perturb import SCENARIOS, make_scenario
 from liftwise.operators.quality import require_feature_table, require_merge
 from liftwise.operators.score import score_clients
-from liftwise.operators.split import DRAW, SPLIT_SEED, stratified_split
+from liftwise.operators.split import (
+    DRAW,
+    SPLIT_SEED,
+    stratified_sample,
+    stratified_split,
+)
 from liftwise.schemas import KEY, OUTCOME, TREATMENT
 from liftwise.session import tune
 from liftwise.sources import store, tables
@@ -136,6 +142,16 @@ def score(
     tables.write_atomic(score_clients(split, model), out)
 
 
+def sample(spark: SparkSession, scores: str, out: str, n: int = 20_000, seed: int = 42) -> None:
+    """About n held-out scores with the mix of arms and outcomes kept, as sorted text."""
+    rows = spark.read.parquet(scores)
+    if "split" in rows.columns:
+        rows = rows.where("split = 'test'")
+    shown = [dr.SCORE, TREATMENT, OUTCOME]
+    picked = stratified_sample(rows.select(KEY, *shown), KEY, [TREATMENT, OUTCOME], n, seed)
+    tables.export_csv(picked, out, dr.SCORE, KEY, shown)
+
+
 def scenario(
     spark: SparkSession,
     name: str,
@@ -214,6 +230,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--models", required=True)
     p.add_argument("--version", required=True)
     p.add_argument("--out", required=True)
+    p = sub.add_parser("sample")
+    p.add_argument("scores")
+    p.add_argument("--out", required=True)
+    p.add_argument("--rows", type=int, default=20_000)
+    p.add_argument("--seed", type=int, default=42)
     p = sub.add_parser("scenario")
     p.add_argument("scenario", choices=SCENARIOS)
     p.add_argument("--features", required=True)
@@ -242,6 +263,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         print(train(spark, args.features, args.models, args.runs, kinds, trees=args.trees))
     elif args.job == "score":
         score(spark, args.features, args.models, args.version, args.out)
+    elif args.job == "sample":
+        sample(spark, args.scores, args.out, args.rows, args.seed)
     elif args.job == "scenario":
         model = store.load_version(spark, args.models, args.version) if args.models else None
         scenario(

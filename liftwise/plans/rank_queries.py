@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from liftwise.functions.exprs import is_pinned
 from liftwise.functions.hashing import bucket
 from liftwise.operators import evaluate as ev
 from liftwise.operators import quality, rank, split
@@ -197,7 +198,7 @@ def e12(spark, folder):
         .otherwise(F.concat(F.lit("models:/lift/"), page, F.lit("/")))
     )
     named = star.table(spark, folder, "pages").select("page_id", uri.alias("uri"))
-    return named.withColumn("pinned", quality.is_pinned(c("uri")))
+    return named.withColumn("pinned", is_pinned(c("uri")))
 
 
 REASONS_SQL = """

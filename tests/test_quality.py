@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from liftwise.functions.exprs import is_pinned
 from liftwise.operators import quality
 from liftwise.operators import requests as rq
 
@@ -64,10 +65,14 @@ URIS = {
 
 def test_pinned(spark):
     df = spark.createDataFrame([(u,) for u in URIS], "uri string")
-    got = {r["uri"]: r["p"] for r in df.select("uri", quality.is_pinned(F.col("uri")).alias("p")).collect()}
+    got = {r["uri"]: r["p"] for r in df.select("uri", is_pinned(F.col("uri")).alias("p")).collect()}
     assert got == URIS
-    with pytest.raises(RuntimeError, match="floating alias"):
-        quality.assert_pinned(spark, "models:/lift/latest")
+    for uri, pinned in URIS.items():
+        if pinned:
+            quality.assert_pinned(uri)
+        else:
+            with pytest.raises(RuntimeError, match="floating alias"):
+                quality.assert_pinned(uri)
 
 
 def checked(spark, records, **kwargs):
