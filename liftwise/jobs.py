@@ -57,11 +57,9 @@ def build_features(spark: SparkSession, store_dir: str, out: str, num_shards: in
     clients = spark.read.parquet(f"{store_dir}/clients")
     labels = spark.read.parquet(f"{store_dir}/uplift_train")
     built = feat.client_features(clients, lines, layout["cutoff"])
-    staged = f"{out}.staged"
-    feat.labeled_features(built, labels).write.mode("overwrite").parquet(staged)
-    merged = spark.read.parquet(staged)
-    require_merge(merged, labels)
-    tables.write_atomic(merged, out)
+    staged = tables.stage(feat.labeled_features(built, labels), out)
+    require_merge(spark.read.parquet(staged), labels)
+    tables.publish(spark, staged, out)
 
 
 def load_features(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -86,6 +87,8 @@ if __name__ == "__main__":
     where = sys.argv[1]
     picked = sys.argv[2:]
     session = local_session(cores="8")
+    if os.environ.get("MANY_SLICES"):
+        session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     base = database(where)
     failed = 0
     for query in entry.queries():
