@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from liftwise.operators import drift as dr
 from liftwise.operators import features as feat
 from liftwise.operators import learners as ln
-from liftwise.operators.evaluate import best_learner, qini_curve, wide_curve
+from liftwise.operators.evaluate import best_learner, curve_of, wide_curve
 from liftwise.operators.perturb import SCENARIOS, make_scenario
 from liftwise.operators.quality import require_feature_table, require_merge
 from liftwise.operators.score import score_clients
@@ -85,16 +85,17 @@ def train(
     """
     rows, features = load_features(spark, features_path)
     stamp = tables.fingerprint(rows, rows.columns).first()
-    fitted, scores, metrics = ln.compare_learners(rows, features, kinds, seed, **settings)
-    by_kind = {r["learner"]: r.asDict() for r in metrics.collect()}  # one row per learner
-    best = best_learner(metrics, list(kinds)).first()["learner"]
-    version = store.save_version(spark, fitted[best], models)
+    judged = ln.compare_learners(rows, features, kinds, seed, **settings)
+    by_kind = {r["learner"]: r.asDict() for r in judged.metrics.collect()}  # one row per learner
+    best = best_learner(judged.metrics, list(kinds)).first()["learner"]
+    version = store.save_version(spark, judged.models[best], models)
     at = f"{models}/version={version}"
 
-    curve = wide_curve(qini_curve(scores, KEY), list(kinds)).orderBy("fraction")
+    curve = wide_curve(curve_of(judged.arms), list(kinds)).orderBy("fraction")
     curve.write.csv(f"{at}/qini_curves", header=True)
     split = stratified_split(rows, KEY, [TREATMENT, OUTCOME], seed=seed)
-    held_out = scores.where(F.col("learner") == best).select(F.col("score").alias(dr.SCORE))
+    best_scores = judged.scores.where(F.col("learner") == best)
+    held_out = best_scores.select(F.col("score").alias(dr.SCORE))
     reference = dr.reference_profile(split.where("split = 'train'"), features, held_out)
     store.save_profile(reference, f"{at}/{PROFILE}")
 

@@ -129,7 +129,11 @@ def curve_grid(arms: DataFrame, points: int = POINTS) -> DataFrame:
 
 def qini_curve(scores: DataFrame, key: str, points: int = POINTS) -> DataFrame:
     """Normalized Qini curve of each learner with the random line, from fraction 0 to 1."""
-    arms = running_arms(scores, key)
+    return curve_of(running_arms(scores, key), points)
+
+
+def curve_of(arms: DataFrame, points: int = POINTS) -> DataFrame:
+    """`qini_curve` from ranks already computed."""
     filled = _filled(arms, "qini", qini_at()).where(_on_grid(points))
     end = _at_end(qini_at)
     curve = filled.select(
@@ -171,22 +175,23 @@ def uplift_metrics(scores: DataFrame, key: str) -> DataFrame:
     Areas are means over the points 0..n, the undefined head included in closed form.
     Where the total effect is 0 the normalized areas are null.
     """
+    return metrics_of(running_arms(scores, key))
+
+
+def metrics_of(arms: DataFrame) -> DataFrame:
+    """`uplift_metrics` from ranks already computed."""
     lift, qini, i = lift_at(), qini_at(), F.col("i")
     lift_rank, qini_rank = (F.when(v.isNotNull(), i) for v in (lift, qini))
-    sums = (
-        running_arms(scores, key)
-        .groupBy("learner")
-        .agg(
-            F.max("n").alias("n"),
-            F.sum(lift * i).alias("gain_sum"),
-            F.min(lift_rank).alias("lift_from"),
-            F.min_by(lift, lift_rank).alias("lift_first"),
-            F.sum(qini).alias("qini_sum"),
-            F.min(qini_rank).alias("qini_from"),
-            F.min_by(qini, qini_rank).alias("qini_first"),
-            *[F.max(f"all_{c}").alias(f"all_{c}") for c in ("ct", "cc", "yt", "yc")],
-            F.avg("score").alias("mean_uplift"),
-        )
+    sums = arms.groupBy("learner").agg(
+        F.max("n").alias("n"),
+        F.sum(lift * i).alias("gain_sum"),
+        F.min(lift_rank).alias("lift_from"),
+        F.min_by(lift, lift_rank).alias("lift_first"),
+        F.sum(qini).alias("qini_sum"),
+        F.min(qini_rank).alias("qini_from"),
+        F.min_by(qini, qini_rank).alias("qini_first"),
+        *[F.max(f"all_{c}").alias(f"all_{c}") for c in ("ct", "cc", "yt", "yc")],
+        F.avg("score").alias("mean_uplift"),
     )
     c = F.col
     ate, q_end = _at_end(lift_at), _at_end(qini_at)
