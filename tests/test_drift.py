@@ -131,3 +131,31 @@ def test_pushing_a_window_again_replaces_it(spark, tmp_path):
         )
     rows = spark.read.parquet(path).collect()
     assert {r["window"]: r["value"] for r in rows} == {"a": 3.0, "b": 2.0}
+
+
+def test_quantiles_of_many_shapes_equal_numpy(spark, many_slices):
+    """Continuous, tied, constant, skewed, sparse and sorted columns at once."""
+    rng = np.random.default_rng(7)
+    n = 4000
+    shapes = []
+    for _ in range(4):
+        shapes += [
+            rng.normal(size=n),
+            rng.integers(0, 5, n).astype(float),
+            np.full(n, 3.25),
+            rng.pareto(1.0, n),
+            np.where(rng.random(n) < 0.97, 0.0, rng.random(n)),
+            np.arange(n, dtype=float) - n / 2,
+        ]
+    columns = []
+    for values in shapes:
+        lost = rng.random(n) < rng.choice([0.0, 0.3, 0.99])
+        columns.append(np.where(lost, np.nan, values))
+    names = [f"c{i}" for i in range(len(columns))]
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in zip(*columns, strict=True)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names))
+    got = {r["column"]: r for r in dr.profile(df, names).collect()}
+    for name, values in zip(names, columns, strict=True):
+        want = plain_edges(values)
+        assert got[name]["edges"] == pytest.approx(want.tolist(), rel=1e-12, abs=1e-15)
+        assert got[name]["shares"] == pytest.approx(plain_shares(values, want).tolist())
