@@ -8,9 +8,10 @@ one row per slice and group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from liftwise.functions.hashing import uniform
@@ -153,10 +154,19 @@ def hash_thresholds(
     return small(found, groups)
 
 
-def chosen(key: str, seed: int) -> Column:
-    """Whether a row lies at or before its group's `cut_u`, `cut_key`."""
+def hash_cut(df: DataFrame, key: str, seed: int, n: int, k: int) -> Row:
+    """`hash_thresholds` of one group of n rows: the k-th smallest (`_u`, `_key`)."""
+    hashed = df.select(F.col(key).alias("_key"), uniform(F.col(key), seed).alias("_u"))
+    order = [F.col("_u").asc(), F.col("_key").asc()]
+    margin = 6.0 / math.sqrt(n)
+    low, high = k / n - margin, k / n + margin
+    below = hashed.where(F.col("_u") < low).count()
+    band = hashed.where((F.col("_u") >= low) & (F.col("_u") < high))
+    found = ranked(band, order).where(F.col("rank") == k - below).first()
+    return found or ranked(hashed, order).where(F.col("rank") == k).first()
+
+
+def up_to(key: str, seed: int, cut_u: Column, cut_key: Column) -> Column:
+    """Whether a row's hash lies at or before a cut; false without a cut."""
     u = uniform(F.col(key), seed)
-    return F.coalesce(
-        (u < F.col("cut_u")) | ((u == F.col("cut_u")) & (F.col(key) <= F.col("cut_key"))),
-        F.lit(False),
-    )
+    return F.coalesce((u < cut_u) | ((u == cut_u) & (F.col(key) <= cut_key)), F.lit(False))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwise.functions.hashing import uniform
-from liftwise.operators.rank import chosen, hash_thresholds, ranked, row_index
+from liftwise.operators.rank import hash_cut, hash_thresholds, ranked, row_index, up_to
 
 TEST_SHARE = 0.3
 SPLIT_SEED = 42
@@ -35,7 +35,8 @@ def largest_remainder(counts: DataFrame, strata: Sequence[str], share: float) ->
 def _choose(df: DataFrame, key: str, strata: Sequence[str], quotas: DataFrame, seed: int):
     """(rows with the cut of their stratum, whether each is chosen)"""
     cuts = hash_thresholds(df, key, seed, quotas, strata)
-    return df.join(cuts, list(strata), "left"), chosen(key, seed)
+    picked = up_to(key, seed, F.col("cut_u"), F.col("cut_key"))
+    return df.join(cuts, list(strata), "left"), picked
 
 
 def stratified_split(
@@ -72,10 +73,13 @@ def stratified_sample(
 
 def choose(df: DataFrame, key: str, k: int, seed: int) -> DataFrame:
     """k rows without replacement: those with the smallest hash."""
-    whole = df.withColumn("_all", F.lit(0))
-    quotas = strata_counts(whole, ["_all"]).withColumn("quota", F.least(F.lit(k), F.col("n")))
-    rows, picked = _choose(whole, key, ["_all"], quotas, seed)
-    return rows.where(picked).select(*df.columns)
+    n = df.count()
+    if k >= n:
+        return df
+    if k <= 0:
+        return df.limit(0)
+    cut = hash_cut(df, key, seed, n, k)
+    return df.where(up_to(key, seed, F.lit(cut["_u"]), F.lit(cut["_key"])))
 
 
 def bernoulli(key: str, p: float, seed: int) -> Column:

@@ -158,13 +158,13 @@ _HOUR = "time_bucket(INTERVAL 1 HOUR, ts) AS window_start"
     "l8_mean_uplift",
     with_(
         "prediction_log",
-        f"SELECT {_HOUR}, count(*) AS count, round(avg(uplift), 9) AS mean "
+        f"SELECT {_HOUR}, count(*) AS count, round(avg(uplift), 12) AS mean "
         "FROM prediction_log GROUP BY 1",
     ),
 )
 def l8(spark, folder):
     means = mon.mean_per_window(inputs.prediction_log(spark, folder), "uplift", "1 hour")
-    return means.withColumn("mean", F.round("mean", 9))
+    return means.withColumn("mean", F.round("mean", 12))
 
 
 @query(
@@ -245,14 +245,14 @@ def l13(spark, folder):
     "l14_latency_by_label",
     with_(
         "request_log",
-        "SELECT path, status, count(*) AS requests, round(avg(seconds), 9) AS mean_seconds "
+        "SELECT path, status, count(*) AS requests, round(avg(seconds), 12) AS mean_seconds "
         "FROM request_log GROUP BY 1, 2",
     ),
 )
 def l14(spark, folder):
     log = inputs.request_log(spark, folder)
     return log.groupBy("path", "status").agg(
-        F.count(F.lit(1)).alias("requests"), F.round(F.avg("seconds"), 9).alias("mean_seconds")
+        F.count(F.lit(1)).alias("requests"), F.round(F.avg("seconds"), 12).alias("mean_seconds")
     )
 
 
@@ -290,14 +290,14 @@ def _metrics(spark, folder, name, length, delay, slide=None):
         c("window_start").cast("timestamp_ntz").alias("window_start"),
         "status",
         "requests",
-        F.round("mean_seconds", 9).alias("mean_seconds"),
+        F.round("mean_seconds", 12).alias("mean_seconds"),
         "errors",
     )
 
 
 def _metrics_sql(start: str, length: str, delay: str, more: str = "") -> str:
     return f"""
-SELECT window_start, status, count(*) AS requests, round(avg(seconds), 9) AS mean_seconds,
+SELECT window_start, status, count(*) AS requests, round(avg(seconds), 12) AS mean_seconds,
   count(*) FILTER (WHERE status >= 500) AS errors
 FROM (SELECT *, {start} AS window_start FROM request_log{more})
 WHERE window_start + INTERVAL {length} <= (SELECT max(ts) FROM request_log) - INTERVAL {delay}
