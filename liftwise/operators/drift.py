@@ -39,9 +39,12 @@ def brackets(values: DataFrame, probs: Sequence[float]) -> DataFrame:
     mergeable sketch whose rank error is below the margin left on both sides."""
     lows = [max(p - MARGIN, 0.0) for p in probs]
     highs = [min(p + MARGIN, 1.0) for p in probs]
-    return values.groupBy("column").agg(
-        F.percentile_approx("value", lows, ACCURACY).alias("lows"),
-        F.percentile_approx("value", highs, ACCURACY).alias("highs"),
+    n = len(probs)
+    sketched = values.groupBy("column").agg(
+        F.percentile_approx("value", lows + highs, ACCURACY).alias("q")
+    )
+    return sketched.select(
+        "column", F.slice("q", 1, n).alias("lows"), F.slice("q", n + 1, n).alias("highs")
     )
 
 
