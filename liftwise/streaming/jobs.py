@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +143,7 @@ def drift_stream(
 
 THROTTLED = "caller string, request_id bigint, ts timestamp, accepted boolean"
 BUCKET = "tokens double, last double"
+CHUNK = 100_000
 
 
 def take_tokens(
@@ -168,25 +170,33 @@ def throttle_stream(
     """(caller, request_id, ts, accepted) by a token bucket per caller in event time.
 
     Each bucket is two numbers of state. Requests of one caller depend on each other
-    and run in one task; a micro-batch bounds how many (`files_per_trigger`).
+    and run in one task, which keeps two numbers per request of the micro-batch;
+    `files_per_trigger` bounds how many there are.
     """
 
     def bucket(
         key: tuple, parts: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         tokens, last = state.get if state.exists else (rate, None)
-        rows = pd.concat(list(parts)).sort_values(["ts", "request_id"])
-        seconds = rows["ts"].astype("datetime64[us]").astype("int64") / 1e6
-        accepted, tokens, last = take_tokens(seconds.tolist(), rate, per, tokens, last)
+        micros, ids = [], []
+        for part in parts:
+            micros.append(part["ts"].astype("datetime64[us]").astype("int64").to_numpy())
+            ids.append(part["request_id"].to_numpy())
+        micros, ids = np.concatenate(micros), np.concatenate(ids)
+        order = np.lexsort((ids, micros))
+        for start in range(0, len(order), CHUNK):
+            rows = order[start : start + CHUNK]
+            seconds = (micros[rows] / 1e6).tolist()
+            accepted, tokens, last = take_tokens(seconds, rate, per, tokens, last)
+            yield pd.DataFrame(
+                {
+                    "caller": key[0],
+                    "request_id": ids[rows],
+                    "ts": micros[rows].astype("datetime64[us]"),
+                    "accepted": accepted,
+                }
+            )
         state.update((tokens, last))
-        yield pd.DataFrame(
-            {
-                "caller": key[0],
-                "request_id": rows["request_id"].to_numpy(),
-                "ts": rows["ts"].to_numpy(),
-                "accepted": accepted,
-            }
-        )
 
     asked = stream.select(
         F.col(caller).cast("string").alias("caller"),
