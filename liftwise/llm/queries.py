@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.llm import bpe, decontaminate, line_dedup, ngram_join, quality, token_counts
+from liftwise.llm import bpe, decontaminate, line_dedup, ngram_join, quality, suffix_tree, token_counts, wavelet
 from liftwise.llm.batches import table
 from liftwise.session import tune
 
@@ -81,3 +81,14 @@ def _(spark, folder):
     return decontaminate.contaminated(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+@query("op7_wavelet_shards")
+def _(spark, folder):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return wavelet.round_trip(table(spark, folder, "documents"), path)
+
+
+@query("op10_suffix_tree_scores")
+def _(spark, folder):
+    return suffix_tree.score_documents(table(spark, folder, "documents"))
