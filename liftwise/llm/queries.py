@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwise.llm import bpe, decontaminate, line_dedup, ngram_join, quality, suffix_tree, token_counts, wavelet
+from liftwise.llm import (
+    bpe,
+    decontaminate,
+    html_blocks,
+    licences,
+    line_dedup,
+    ngram_join,
+    quality,
+    suffix_tree,
+    token_counts,
+    wavelet,
+)
 from liftwise.llm.batches import table
 from liftwise.session import tune
 
@@ -92,3 +103,15 @@ def _(spark, folder):
 @query("op10_suffix_tree_scores")
 def _(spark, folder):
     return suffix_tree.score_documents(table(spark, folder, "documents"))
+
+
+@query("op8_html_blocks")
+def _(spark, folder):
+    pages = table(spark, folder, "pages")
+    return html_blocks.main_text(pages, html_blocks.fit(pages))
+
+
+@query("op9_licence_scan")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licences.scan_licences(docs).drop("text")
