@@ -42,6 +42,8 @@ WIDTH, PERCENT = 3, 90
 BLOCK = 48
 # A shingle in more prefixes than this goes last; raised until at most COMMON_ROWS do.
 COMMON_FROM, COMMON_ROWS = 256, 1_000_000
+# Rows of a broadcast filter on hashed ids, whatever their number.
+PLACES = 1 << 20
 PARITY = ["p0", "p1", "p2", "p3"]
 
 _hash = Cache(xxhash.xxh64_intdigest)
@@ -64,7 +66,26 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-SIGNATURE = "n long, digest binary, prefix array<long>, " + ", ".join(f"{p} long" for p in PARITY)
+SIGNATURE = "n long, digest binary, bits binary, prefix array<long>, " + ", ".join(
+    f"{p} long" for p in PARITY
+)
+
+
+def parity_bits(found: np.ndarray) -> np.ndarray:
+    """At least one bit per shingle: how many differ is close to how many shingles differ."""
+    size = max(256, 1 << (len(found) - 1).bit_length())
+    places = (found & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=size) & 1).astype(np.uint8))
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """At least so many shingles differ; the longer bits are folded to the shorter ones."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
@@ -79,25 +100,28 @@ def signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) ->
             found = shingles(lower_words(t), width)
             n = len(found)
             if not n:
-                rows.append((0, None, None, 0, 0, 0, 0))
+                rows.append((0, None, None, None, 0, 0, 0, 0))
                 continue
-            last = np.isin(found, common, assume_unique=True) if len(common) else None
-            ordered = found if last is None else np.concatenate([found[~last], found[last]])
-            bits = np.bincount((found & np.uint64(255)).astype(np.int64), minlength=256) & 1
-            parity = np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+            ordered = found
+            if len(common):
+                at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+                last = common[at] == found
+                ordered = np.concatenate([found[~last], found[last]])
+            bits = parity = parity_bits(found)
+            while len(parity) > 32:
+                parity = parity[: len(parity) // 2] ^ parity[len(parity) // 2 :]
             prefix = ordered[: prefix_length(n, percent)].view(np.int64)
             digest = blake2b(found.tobytes(), digest_size=16).digest()
-            rows.append((n, digest, prefix, *parity))
-        return pd.DataFrame(rows, columns=["n", "digest", "prefix", *PARITY])
+            rows.append((n, digest, bits.tobytes(), prefix, *parity.view(np.int64).tolist()))
+        return pd.DataFrame(rows, columns=["n", "digest", "bits", "prefix", *PARITY])
 
     return docs.select("doc_id", sign(F.col("text").cast("string")).alias("s")).select(
         "doc_id", "s.*"
     )
 
 
-def common_shingles(docs: DataFrame, width: int, percent: int) -> np.ndarray:
+def common_shingles(signed: DataFrame) -> np.ndarray:
     """Shingles in many prefixes, at most COMMON_ROWS of them, sorted."""
-    signed = signatures(docs, width, percent, np.zeros(0, np.uint64))
     counts = signed.select(F.explode("prefix").alias("token")).groupBy("token").count()
     many = stored(counts.where(F.col("count") > COMMON_FROM), "common-shingles")
     least = COMMON_FROM
@@ -109,6 +133,42 @@ def common_shingles(docs: DataFrame, width: int, percent: int) -> np.ndarray:
     return np.sort(found.to_numpy(np.int64).view(np.uint64))
 
 
+def _place(column: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("place"), column), F.lit(PLACES))
+
+
+def _places(ids: DataFrame) -> DataFrame:
+    """Hashed places of the column `id`, at most PLACES rows: a filter that lets every id
+    pass, and few others as long as ids are few."""
+    found = stored(ids.select(_place("id").alias("place")).distinct(), "places")
+    return F.broadcast(found.coalesce(1))
+
+
+def all_signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Signatures whose prefixes put common shingles last. Only rows that a common shingle
+    touches are signed a second time."""
+    plain = stored(signatures(docs, width, percent, np.zeros(0, np.uint64)), "signatures")
+    common = common_shingles(plain)
+    if not len(common):
+        return plain
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+
+    @F.pandas_udf("boolean")
+    def touched(prefixes: pd.Series) -> pd.Series:
+        common, out = shared.value, []
+        for p in prefixes:
+            found = np.asarray([] if p is None else p, np.int64).view(np.uint64)
+            at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+            out.append(bool((common[at] == found).any()))
+        return pd.Series(out, dtype=bool)
+
+    hit = plain.where("n > 0 AND doc_id IS NOT NULL").where(touched("prefix"))
+    again = _places(hit.select(F.col("doc_id").alias("id")))
+    redone = docs.join(again, _place("doc_id") == F.col("place"), "left_semi")
+    untouched = plain.join(again, _place("doc_id") == F.col("place"), "left_anti")
+    return stored(untouched.unionByName(signatures(redone, width, percent, common)), "signatures")
+
+
 def _near(x: str, y: str, percent: int) -> Column:
     """Can rows x and y link? Sizes, and the least number of differing shingles."""
     total = F.col(f"{x}.n") + F.col(f"{y}.n")
@@ -140,10 +200,33 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts link."""
+def verified(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """The pairs (a, b) whose texts link. Texts travel only for pairs that the full parity
+    bits let pass."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+
+    @F.pandas_udf("boolean")
+    def close(n: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series(
+            [least_difference(a, b) * (100 + percent) <= total * (100 - percent)
+             for total, a, b in zip(n, x, y, strict=True)], dtype=bool)
+
+    sides = [
+        classes.select(F.col("cls").alias(f"id{k}"), F.col("n").alias(f"n{k}"),
+                       F.col("bits").alias(f"bits{k}")) for k in (1, 2)
+    ]
+    with_bits = pairs.join(sides[0], pairs["a"] == F.col("id1")).join(
+        sides[1], F.col("b") == F.col("id2")
+    )
+    pairs = stored(
+        with_bits.where(close(F.col("n1") + F.col("n2"), "bits1", "bits2")).select("a", "b"), "near"
+    )
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    texts = docs.join(_places(ids), _place("doc_id") == F.col("place"), "left_semi").select(
+        F.col("doc_id").alias("id"), "text"
+    )
     a = pairs.join(texts, pairs["a"] == texts["id"]).select(
         "a", "b", F.col("text").alias("left_text")
     )
@@ -168,15 +251,14 @@ def jaccard_components(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    signed = stored(
-        signatures(docs, width, percent, common_shingles(docs, width, percent)), "signatures"
-    )
+    signed = all_signatures(docs, width, percent)
     sets = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(
         sets.groupBy("digest", "n").agg(
             F.min("doc_id").alias("cls"),
             F.count(F.lit(1)).alias("rows"),
             F.min("prefix").alias("prefix"),
+            F.min("bits").alias("bits"),
             *[F.min(p).alias(p) for p in PARITY],
         ),
         "classes",
@@ -213,7 +295,7 @@ def jaccard_components(
         & (F.col("x.cls") < F.col("y.cls")) & _near("x", "y", percent),
     )
     first = stored(_ordered(across).union(_ordered(within)).distinct(), "pairs")
-    links = stored(verified(first, docs, width, percent), "links")
+    links = stored(verified(first, classes, docs, width, percent), "links")
     labels = components(links)
 
     # What the blocks left open: members of a bucket that lie in different components.
@@ -248,7 +330,7 @@ def jaccard_components(
     second = stored(
         _ordered(rest).join(first, ["a", "b"], "left_anti"), "pairs"
     )
-    more = stored(verified(second, docs, width, percent), "links")
+    more = stored(verified(second, classes, docs, width, percent), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 
