@@ -39,7 +39,7 @@ from liftwise.llm.batches import Cache, lower_words, mix, rolled, small_batches,
 from liftwise.llm.components import components
 
 WIDTH, PERCENT = 3, 90
-BLOCK = 48
+BLOCK = 12
 # A shingle in more prefixes than this goes last; raised until at most COMMON_ROWS do.
 COMMON_FROM, COMMON_ROWS = 256, 1_000_000
 # Rows of a broadcast filter on hashed ids, whatever their number.
