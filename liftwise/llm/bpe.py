@@ -178,8 +178,8 @@ class ByteCodec:
         for token, i in self.special.items():
             self.labels[i] = token.encode()
         self.names = list(map(str, range(size)))
-        self.chunks = Cache(self._chunk)
-        self.spaced = Cache(self._spaced)
+        self.chunks = Cache(self.chunk)
+        self.spaced = Cache(self.after_space)
 
     def _split(self, chunk: str) -> list[str]:
         """The pieces of a chunk, in the vocabulary's letters."""
@@ -189,17 +189,17 @@ class ByteCodec:
             return [p for p, _ in self.split.pre_tokenize_str(chunk)]
         return [p.encode().decode("latin-1").translate(self.letters) for p in LATIN.findall(chunk)]
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def chunk(self, chunk: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self.automaton.path, self._split(chunk))))
 
-    def _spaced(self, word: str) -> tuple[int, ...]:
+    def after_space(self, word: str) -> tuple[int, ...]:
         """The chunk of a space and a word; the usual shapes need no pattern."""
         if word.isascii():
             if word.isalpha():
                 return self.automaton.path("\u0120" + word)
             if word[-1:] in ".,!?;:" and word[:-1].isalpha():
                 return self.automaton.path("\u0120" + word[:-1]) + self.automaton.path(word[-1])
-        return self._chunk(" " + word)
+        return self.chunk(" " + word)
 
     def ordinary(self, text: str) -> list[int]:
         """Ids of a text in which no special token counts."""

@@ -25,7 +25,7 @@ from liftwise.llm.batches import small_batches
 
 DICE = 0.8
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©).*$", re.I | re.M)
+COPYRIGHT = re.compile(r"^[^\w©(]*(?:copyright\s+(?:\(c\)|©|\d{4})|\(c\)\s|©).*$", re.I | re.M)
 
 # Public licence texts and the notices by which works refer to them.
 TEMPLATES = {

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftwise.llm.batches import CHUNK, small_batches
+from liftwise.llm.batches import CHUNK, Cache, small_batches
 from liftwise.llm.bpe import ByteCodec, load_codec
 
 RUN = 32
@@ -34,7 +34,9 @@ class CountTree:
         self.text, self.count, self.encoded = text, count, 0
         if leaves is None:
             chunks = CHUNK.findall(text)
-            leaves = np.array([[len(c), count(c), 1] for c in chunks], np.int64).reshape(-1, 3)
+            leaves = np.ones((len(chunks), 3), np.int64)
+            leaves[:, 0] = np.fromiter(map(len, chunks), np.int64, len(chunks))
+            leaves[:, 1] = np.fromiter(map(count, chunks), np.int64, len(chunks))
             self.encoded = len(chunks)
         self.room = 1
         while self.room < max(1, len(leaves)):
@@ -103,7 +105,12 @@ class CountTree:
 
 
 def _counter(codec: ByteCodec):
-    return lambda chunk: len(codec.chunks[chunk])
+    """chunk -> tokens, kept with the worker's codec."""
+    if not hasattr(codec, "counts"):
+        codec.counts = Cache(
+            lambda c: len(codec.after_space(c[1:]) if c[0] == " " else codec.chunk(c))
+        )
+    return codec.counts.__getitem__
 
 
 def build_trees(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
