@@ -23,7 +23,7 @@ from liftwise.operators import features as feat
 from liftwise.operators import learners as ln
 from liftwise.operators.evaluate import best_learner, curve_of, wide_curve
 from liftwise.operators.perturb import SCENARIOS, make_scenario
-from liftwise.operators.quality import require_feature_table, require_merge
+from liftwise.operators.quality import require_feature_table, require_merge, require_shards
 from liftwise.operators.score import score_clients
 from liftwise.operators.split import (
     DRAW,
@@ -51,8 +51,11 @@ def ingest(spark: SparkSession, raw: str, out: str, num_shards: int) -> dict[str
 
 
 def build_features(spark: SparkSession, store_dir: str, out: str, num_shards: int) -> None:
-    """The labeled feature table; refuses to write one that lost or doubled clients."""
+    """The labeled feature table; refuses to write one that lost or doubled clients, and to
+    start from purchases that lost a shard or lines since they were written."""
     layout = tables.read_layout(spark, f"{store_dir}/purchases", num_shards)
+    if layout["lines"] is not None:
+        require_shards(tables.shard_lines(spark, f"{store_dir}/purchases"), layout["lines"])
     lines = spark.read.parquet(f"{store_dir}/purchases")
     clients = spark.read.parquet(f"{store_dir}/clients")
     labels = spark.read.parquet(f"{store_dir}/uplift_train")
@@ -162,8 +165,6 @@ def scenario(
     model: ln.UpliftModel | None = None,
 ) -> None:
     """A drifted batch drawn from the clients training held out, scored if a model is given."""
-    if name not in SCENARIOS:
-        raise ValueError(f"unknown scenario {name!r}; expected one of {SCENARIOS}")
     rows, _ = load_features(spark, features_path)
     split = stratified_split(rows, KEY, [TREATMENT, OUTCOME])
     held_out = split.where("split = 'test'").drop("split")

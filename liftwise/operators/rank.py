@@ -2,8 +2,8 @@
 
 Rows are range-partitioned into ordered slices and fixed with a checkpoint, since
 range bounds come from a sample and may differ between runs. Each slice is then
-ranked on its own and shifted by the totals of the slices before it: a table of
-one row per slice and group.
+ranked in a partition of its own and shifted by the totals of the slices before it:
+a table of one row per slice and group, which is counted before it is broadcast.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def ranked(
     `total_<name>`.
 
     `order` must be a total order and `by` free of nulls. Groups may be of any size.
-    Pass only the columns needed: rows are shuffled twice.
+    Pass only the columns needed: rows are shuffled twice, evenly both times.
     """
     by = list(by)
     columns = df.columns
@@ -45,7 +45,10 @@ def ranked(
     )
     within = Window.partitionBy(*by, SLICE).orderBy(*order)
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = slices.select(
+    # One partition per slice: the window takes this partitioning as it is, and a hash of
+    # the slice number would lose the balance of the ranges.
+    placed = slices.repartitionById(max(1, slices.rdd.getNumPartitions()), F.col(SLICE))
+    local = placed.select(
         *columns,
         SLICE,
         F.row_number().over(within).alias("_rank"),
@@ -66,9 +69,11 @@ def ranked(
         *[F.coalesce(x, F.lit(0)).alias(f"_before_{name}") for name, x in earlier.items()],
         *[F.sum(f"_all_{name}").over(group).alias(f"total_{name}") for name in sums],
     )
-    # No broadcast hint: the window already holds the rows by (group, slice), so
-    # the join adds no exchange to the large side.
-    return local.join(offsets, [*by, SLICE]).select(
+    offsets = materialize(offsets)
+    # The few offsets may be broadcast, the ranked rows never.
+    few = offsets.count() <= BROADCAST_ROWS
+    shifts = F.broadcast(offsets) if few else offsets.hint("merge")
+    return local.join(shifts, [*by, SLICE]).select(
         *columns,
         (F.col("_rank") + F.col("_rows_before")).alias("rank"),
         "group_size",

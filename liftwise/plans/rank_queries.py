@@ -376,8 +376,7 @@ def g6(spark, folder):
     return split.permute(rows, "o_orderkey", "o_orderstatus", rows.count() // 2, 20)
 
 
-_SHOWN = ["draw", "client_id", "treatment", "y", "age", "total_spend", "mean_spend", "max_spend",
-          "spend_30d", "redeemed_amount", "n_transactions", "recency_days"]
+_SHOWN = ["draw", KEY, TREATMENT, OUTCOME, *FEATURES]
 
 for _n, _scenario in enumerate(SCENARIOS, 1):
 

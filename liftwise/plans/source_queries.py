@@ -13,7 +13,7 @@ from liftwise.plans import inputs
 from liftwise.plans.registry import query
 from liftwise.plans.sql import bucket as sql_bucket
 from liftwise.plans.sql import long_values, profile_of, with_
-from liftwise.schemas import CLIENTS, KEY
+from liftwise.schemas import CLIENTS, FEATURES, KEY
 from liftwise.session import scratch
 from liftwise.sources import star_schema as star
 from liftwise.sources import store, tables
@@ -157,7 +157,7 @@ def a10(spark, folder):
     return spark.read.csv(path, header=True)
 
 
-PROFILED = ["age", "total_spend", "n_transactions", "days_issue_to_redeem"]
+PROFILED = FEATURES
 long_values("training_some", "training", PROFILED)
 profile_of("training_some_profile", "training_some")
 

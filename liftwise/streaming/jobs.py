@@ -151,13 +151,14 @@ def take_tokens(
 ) -> tuple[list[bool], float, float | None]:
     """Spend one token per request in time order; refused requests spend nothing.
 
-    `rate` tokens return per `per` seconds, up to `rate`.
+    `rate` tokens return per `per` seconds, up to `rate`. The clock never runs back: a
+    request older than one already decided (a late file) spends a token and earns none.
     """
     accepted = []
     for now in seconds:
         if last is not None:
-            tokens = min(rate, tokens + (now - last) * (rate / per))
-        last = now
+            tokens = min(rate, tokens + max(0.0, now - last) * (rate / per))
+        last = now if last is None else max(last, now)
         ok = tokens >= 1
         tokens -= ok
         accepted.append(bool(ok))

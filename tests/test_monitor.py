@@ -119,3 +119,11 @@ def test_metrics_match_between_tumbling_and_sliding(spark):
     df = log(spark, [(s, "a", 1.0, 200) for s in range(0, 600, 30)])
     slid = jobs.request_metrics(df, "5 minutes", [], "0 seconds", "1 minute")
     assert slid.agg(F.sum("requests")).first()[0] == 5 * 20
+
+
+def test_late_requests_do_not_turn_the_clock_back():
+    from liftwise.streaming.jobs import take_tokens
+
+    accepted, tokens, last = take_tokens([100.0, 100.0, 100.0], 2, 86400.0, 2.0, 200_000.0)
+    assert accepted == [True, True, False]
+    assert (tokens, last) == (0.0, 200_000.0)

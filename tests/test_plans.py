@@ -73,3 +73,17 @@ def test_metrics_aggregate_ranks_once(spark):
     )
     shape = plan(ev.uplift_metrics(scores, "client_id"))
     assert shape.count("Window [row_number()") == 1
+
+
+def test_ranks_stay_spread_and_are_never_broadcast(spark, many_slices):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 32)
+    try:
+        df = spark.range(400_000).select("id", F.xxhash64("id").cast("double").alias("score"))
+        out = rank.running_totals(df, "score", "id", ["score"])
+        parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        shape = plan(out)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(parts) == 32 and max(r["count"] for r in parts) < 1.5 * 400_000 / 32
+    assert "BroadcastHashJoin" in shape and "BuildRight" in shape and "BuildLeft" not in shape

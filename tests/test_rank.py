@@ -173,5 +173,5 @@ def test_strength_zero_is_the_baseline(people, name):
 
 
 def test_unknown_scenario(people):
-    with pytest.raises(ValueError, match="unknown scenario"):
+    with pytest.raises(ValueError, match="no scenario"):
         make_scenario(people, "client_id", "nope", 10)
