@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -95,9 +96,9 @@ class WaveletMatrix:
         for level in range(depth - 1, -1, -1):
             bits = (rest >> level) & 1 > 0
             planes.append(Plane.of(bits))
-            low = rest[~bits]
+            low = rest.compress(~bits)
             zeros.append(len(low))
-            rest = np.concatenate([low, rest[bits]])
+            rest = np.concatenate([low, rest.compress(bits)])
         return cls(planes, zeros, len(ids))
 
     def tokens(self) -> np.ndarray:
@@ -192,17 +193,47 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kept = Cache(self.word)
+        self.kept = Cache(self._word, 600_000)
 
     def __reduce__(self):
         return (WordCodec, (self.spec,))
 
-    def word(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+    @staticmethod
+    def parts(word: bytes) -> tuple[bytes, ...]:
+        """Pieces that the tokenizer splits a word into anyway, in lower case: letters of
+        Latin-1 and one mark after them. Any other word is one piece, as it is."""
+        text = word.decode("utf-8")
+        if max(text) < "\u0100":
+            if text.isalpha():
+                return (text.lower().encode(),)
+            if text[-1] in ".,!?;:" and text[:-1].isalpha():
+                return text[:-1].lower().encode(), text[-1].encode()
+        return (word,)
+
+    def learn(self, found: list[list[bytes]]) -> None:
+        """Encode the words of a batch that are not kept yet, in one call."""
+        fresh = set().union(*found).difference(self.kept)
+        if len(self.kept) + len(fresh) > self.kept.entries:
+            self.kept.clear()
+        split = {w: self.parts(w) for w in fresh}
+        missing = list({p for parts in split.values() for p in parts} - self.kept.keys())
+        codes = self.tokenizer.encode_batch_fast(
+            [p.decode("utf-8") for p in missing], add_special_tokens=False
+        )
+        self.kept.update((p, array("I", c.ids).tobytes()) for p, c in zip(missing, codes, strict=True))
+        for w, parts in split.items():
+            if parts != (w,):
+                self.kept[w] = b"".join(self.kept[p] for p in parts)
+
+    def _word(self, word: bytes) -> bytes:
+        self.learn([[word]])
+        return self.kept[word]
+
+    def encode_words(self, found: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.kept.__getitem__, found)), "<u4")
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.kept.__getitem__, words(text))), "<u4")
+        return self.encode_words(words(text))
 
 
 SHARDS = "part int, shard int, n_tokens long, n_docs long, body binary"
@@ -230,8 +261,10 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, tokens: int = SHARD
                   "n_docs": len(names), "body": body}], schema)
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = codec.value.encode(text.as_py())
+            texts = [words(t) for t in batch.column(1).to_pylist()]
+            codec.value.learn(texts)
+            for name, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+                found = codec.value.encode_words(text)
                 ids += [found, end]
                 names.append(name)
                 lengths.append(len(found) + 1)
