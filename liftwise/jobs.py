@@ -2,6 +2,8 @@
 
     python -m liftwise.jobs ingest   --raw RAW --out STORE --num-shards 8
     python -m liftwise.jobs features --store STORE --out FEATURES --num-shards 8
+    python -m liftwise.jobs shard 3  --store STORE --out PARTS --num-shards 8
+    python -m liftwise.jobs merge    --store STORE --parts PARTS --out FEATURES --num-shards 8
     python -m liftwise.jobs train    --features FEATURES --models MODELS --runs RUNS
     python -m liftwise.jobs score    --features FEATURES --models MODELS --version 1 --out SCORES
     python -m liftwise.jobs sample   SCORES --out TEXT
@@ -18,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from liftwise.functions.hashing import bucket
 from liftwise.operators import drift as dr
 from liftwise.operators import features as feat
 from liftwise.operators import learners as ln
@@ -65,6 +68,39 @@ def build_features(spark: SparkSession, store_dir: str, out: str, num_shards: in
     tables.publish(spark, staged, out)
 
 
+def build_shard(
+    spark: SparkSession, store_dir: str, parts: str, shard: int, num_shards: int
+) -> None:
+    """The labeled features of one client shard. They replace that shard's partition of
+    `parts` and no other; files of other shards' purchases are not opened."""
+    purchases = f"{store_dir}/purchases"
+    lines = tables.read_shard(spark, purchases, shard, num_shards)
+    layout = tables.read_layout(spark, purchases, num_shards)
+    if layout["lines"] is not None:
+        require_shards({shard: lines.count()}, {shard: layout["lines"].get(shard, 0)})
+    clients, labels = (
+        spark.read.parquet(f"{store_dir}/{name}").where(bucket(F.col(KEY), num_shards) == shard)
+        for name in ("clients", "uplift_train")
+    )
+    built = feat.labeled_features(feat.client_features(clients, lines, layout["cutoff"]), labels)
+    tables.write_atomic(built.withColumn("shard", F.lit(shard)), parts, ["shard"])
+
+
+def merge_shards(
+    spark: SparkSession, store_dir: str, parts: str, out: str, num_shards: int
+) -> None:
+    """The shards' features as one table; an error names shards whose clients are not there."""
+    labels = spark.read.parquet(f"{store_dir}/uplift_train")
+    built = spark.read.parquet(parts)
+    wanted = labels.select(bucket(F.col(KEY), num_shards).alias("shard")).distinct()
+    there = built.select(F.col("shard").cast("int")).distinct()
+    gone = sorted(r["shard"] for r in wanted.join(there, "shard", "left_anti").collect())
+    if gone:
+        raise ValueError(f"no features of shards {gone}; build them first")
+    require_merge(built, labels)
+    tables.write_atomic(built.drop("shard"), out)
+
+
 def load_features(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """A checked feature table with doubles, and its feature names."""
     table = spark.read.parquet(path)
@@ -219,6 +255,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--store", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--num-shards", type=int, required=True)
+    p = sub.add_parser("shard")
+    p.add_argument("shard", type=int)
+    p.add_argument("--store", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--num-shards", type=int, required=True)
+    p = sub.add_parser("merge")
+    p.add_argument("--store", required=True)
+    p.add_argument("--parts", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--num-shards", type=int, required=True)
     p = sub.add_parser("train")
     p.add_argument("--features", required=True)
     p.add_argument("--models", required=True)
@@ -258,6 +304,10 @@ def main(argv: Sequence[str] | None = None) -> None:
             print(f"{name}: {rows:,} rows")
     elif args.job == "features":
         build_features(spark, args.store, args.out, args.num_shards)
+    elif args.job == "shard":
+        build_shard(spark, args.store, args.out, args.shard, args.num_shards)
+    elif args.job == "merge":
+        merge_shards(spark, args.store, args.parts, args.out, args.num_shards)
     elif args.job == "train":
         kinds = [k.strip() for k in args.learners.split(",")]
         print(train(spark, args.features, args.models, args.runs, kinds, trees=args.trees))

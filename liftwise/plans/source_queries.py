@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from liftwise import jobs
 from liftwise.functions.hashing import bucket
 from liftwise.operators.drift import drift_report, profile
 from liftwise.operators.evaluate import qini_curve, wide_curve
@@ -137,6 +138,19 @@ def a8(spark, folder):
     return spark.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("clients"))
 
 
+@query("a14_rebuild_shard", with_("labeled", "SELECT * FROM labeled"))
+def a14(spark, folder):
+    """Features built shard by shard, one of them a second time, equal the full build."""
+    at = scratch(spark, "a14")
+    tables.write_partitioned(star.purchases(spark, folder), f"{at}/purchases", 3)
+    star.clients(spark, folder).write.parquet(f"{at}/clients")
+    star.labels(spark, folder).write.parquet(f"{at}/uplift_train")
+    for shard in [*range(3), 1]:
+        jobs.build_shard(spark, at, f"{at}/parts", shard, 3)
+    jobs.merge_shards(spark, at, f"{at}/parts", f"{at}/features", 3)
+    return spark.read.parquet(f"{at}/features")
+
+
 @query("a9_projected_read", "SELECT o_orderkey, o_totalprice FROM orders")
 def a9(spark, folder):
     return star.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
