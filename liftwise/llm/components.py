@@ -42,3 +42,28 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
         if jumped.where("moved").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels of components() with further links (a, b): only links between different
+    components count, each pair of components once. Nodes without a label are alone."""
+    own = [
+        labels.select(F.col("node").alias(f"node{k}"), F.col("label").alias(f"label{k}"))
+        for k in (1, 2)
+    ]
+    named = links.join(own[0], links["a"] == F.col("node1"), "left").join(
+        own[1], links["b"] == F.col("node2"), "left"
+    )
+    between = stored(
+        named.select(F.coalesce("label1", "a").alias("a"), F.coalesce("label2", "b").alias("b"))
+        .where("a <> b").distinct(),
+        "between",
+    )
+    if between.isEmpty():
+        return labels
+    tops = components(between).select(F.col("node").alias("at"), F.col("label").alias("top"))
+    moved = labels.join(tops, labels["label"] == tops["at"], "left").select(
+        "node", F.coalesce("top", "label").alias("label")
+    )
+    alone = tops.join(labels, tops["at"] == labels["node"], "left_anti")
+    return stored(moved.union(alone.select("at", "top")), "labels")

@@ -13,10 +13,11 @@
 
 Components need no more links than join them, so pairs come in two steps. First every
 shingle's groups, and every group's members, meet in random blocks of about BLOCK rows: a
-bucket costs in proportion to its rows, however many copies it holds. Then whatever the
-blocks did not bring together is closed exactly: all pairs that share a prefix shingle and
-do not yet lie in one component are filtered and verified, rows of a bucket's main
-component against rows outside it.
+bucket costs in proportion to its rows, however many copies it holds. Rows left outside a
+large bucket's main component meet one more random block of it. Then whatever the blocks did
+not bring together is closed exactly: all pairs that share a prefix shingle and do not yet
+lie in one component are filtered and verified, rows of a bucket's main component against
+rows outside it. New links only join components, as links between their labels.
 
 Two sets link when 100 * intersection >= percent * union. Documents with fewer words than
 `width` have the whole sequence as their only shingle. Null or wordless text has an empty
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftwise.llm.batches import Cache, lower_words, mix, rolled, small_batches, stored
-from liftwise.llm.components import components
+from liftwise.llm.components import components, merged
 
 WIDTH, PERCENT = 3, 90
 BLOCK = 12
@@ -246,6 +247,51 @@ def verified(
     return both.where(links("left_text", "right_text")).select("a", "b").distinct()
 
 
+def _open_pairs(
+    grouped: DataFrame, leads: DataFrame, labels: DataFrame, percent: int, block: int | None
+) -> DataFrame:
+    """Pairs of a bucket's members that lie in different components: all of them, or, given
+    a block size, those that a row outside the main component forms with one random block
+    of it, in buckets whose main component has more rows than that."""
+    least = block or 1
+    named = grouped.join(labels, grouped["cls"] == labels["node"], "left").select(
+        "cls", "grp", "n", "in_group", *PARITY, F.coalesce("label", "cls").alias("label")
+    )
+    # A group's lead stands for all its members, so a bucket may hold more rows than leads.
+    spots = leads.where(F.col("in_rows") > least).select(F.col("cls").alias("lead"), "token", "pos")
+    rows = named.join(spots, named["grp"] == spots["lead"]).drop("lead", "grp", "in_group")
+    alone = named.where(F.col("in_group") > least).select(
+        "cls", "n", *PARITY, "label", F.xxhash64(F.lit("group"), "grp").alias("token"),
+        F.lit(0).alias("pos"),
+    )
+    rows = stored(rows.unionByName(alone), "rows")
+    per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("many"))
+    mixed = (
+        per_label.groupBy("token")
+        .agg(F.max(F.struct("many", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+        .where("labels > 1")
+        .select("token", F.col("main.label").alias("main"), F.col("main.many").alias("many"))
+    )
+    if block:
+        mixed = mixed.where(F.col("many") > block)
+    open_rows = stored(rows.join(stored(mixed, "mixed"), "token"), "open")
+    if block:
+        spread = F.pmod(F.xxhash64(F.lit("open"), "cls", "token"), F.ceil(F.col("many") / F.lit(block)))
+        open_rows = open_rows.withColumn("block", spread)
+    x, y = open_rows.where("label <> main").alias("x"), open_rows.alias("y")
+    main = F.col("y.label") == F.col("y.main")
+    if block:
+        y = open_rows.where("label = main").alias("y")
+        which = F.col("x.block") == F.col("y.block")
+    else:
+        which = (F.col("x.label") != F.col("y.label")) & (main | (F.col("x.cls") < F.col("y.cls")))
+    return x.join(
+        y,
+        (F.col("x.token") == F.col("y.token")) & which
+        & _near("x", "y", percent) & _placed("x", "y", percent),
+    )
+
+
 def jaccard_components(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -275,12 +321,16 @@ def jaccard_components(
     grouped = stored(members.join(groups, ["k1", "k2"]).drop("k1", "k2"), "members")
     # Prefix shingles of groups, only those that several groups share.
     leads = grouped.where("cls = grp").select(
-        "cls", "n", *PARITY, F.posexplode("prefix").alias("pos", "token")
+        "cls", "n", "in_group", *PARITY, F.posexplode("prefix").alias("pos", "token")
+    )
+    counts = (
+        leads.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("in_bucket"), F.sum("in_group").alias("in_rows"))
+        .where("in_bucket > 1")
     )
-    counts = leads.groupBy("token").agg(F.count(F.lit(1)).alias("in_bucket")).where("in_bucket > 1")
     leads = stored(leads.join(stored(counts, "buckets"), "token"), "leads")
 
-    blocks = _blocks(leads, "token", "in_bucket")
+    blocks = _blocks(leads.drop("in_group", "in_rows"), "token", "in_bucket")
     x, y = blocks.alias("x"), blocks.alias("y")
     across = x.join(
         y,
@@ -298,41 +348,13 @@ def jaccard_components(
     links = stored(verified(first, classes, docs, width, percent), "links")
     labels = components(links)
 
-    # What the blocks left open: members of a bucket that lie in different components.
-    named = grouped.join(labels, grouped["cls"] == labels["node"], "left").select(
-        "cls", "grp", "n", "in_group", *PARITY, F.coalesce("label", "cls").alias("label")
-    )
-    spots = leads.select(F.col("cls").alias("lead"), "token", "pos")
-    rows = stored(
-        named.join(spots, named["grp"] == spots["lead"]).drop("lead", "grp", "in_group"), "rows"
-    )
-    alone = named.where("in_group > 1").select(
-        "cls", "n", *PARITY, "label", F.xxhash64(F.lit("group"), "grp").alias("token"),
-        F.lit(0).alias("pos"),
-    )
-    rows = rows.unionByName(alone)
-    per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("many"))
-    mixed = stored(
-        per_label.groupBy("token")
-        .agg(F.max(F.struct("many", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-        .where("labels > 1")
-        .select("token", F.col("main.label").alias("main")),
-        "mixed",
-    )
-    open_rows = stored(rows.join(mixed, "token"), "open")
-    x, y = open_rows.where("label <> main").alias("x"), open_rows.alias("y")
-    rest = x.join(
-        y,
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
-        & ((F.col("y.label") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls")))
-        & _near("x", "y", percent) & _placed("x", "y", percent),
-    )
-    second = stored(
-        _ordered(rest).join(first, ["a", "b"], "left_anti"), "pairs"
-    )
-    more = stored(verified(second, classes, docs, width, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    # Rows of a large bucket that lie outside its main component meet one more random block
+    # of it; then whatever is still open is closed exactly.
+    for block in (BLOCK, None):
+        rest = _open_pairs(grouped, leads, labels, percent, block)
+        fresh = stored(_ordered(rest).join(first, ["a", "b"], "left_anti"), "pairs")
+        labels = merged(labels, stored(verified(fresh, classes, docs, width, percent), "links"))
+        first = first.union(fresh)
 
     copies = classes.where("rows > 1").select(F.col("digest").alias("same"), "cls")
     placed = signed.join(copies, signed["digest"] == copies["same"], "left").select(
