@@ -144,13 +144,17 @@ def latency_alert(
     length: str = ALERT_WINDOW,
     limit: float = P99_LIMIT_SECONDS,
     bounds: Sequence[float] = LATENCY_BOUNDS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """(window_start, p99, firing) from per-window histograms, whose size does not
-    depend on the traffic."""
-    histogram = bucket_counts(windowed(df, length), column, bounds, ["window_start"])
-    return bucket_quantile(histogram, 0.99, ["window_start"]).select(
-        "window_start", F.col("quantile").alias("p99"), (F.col("quantile") > limit).alias("firing")
+    depend on the traffic. With `by`, each series has its own p99 and the worst counts,
+    so a slow series cannot hide behind fast ones."""
+    keys = ["window_start", *by]
+    histogram = bucket_counts(windowed(df, length), column, bounds, keys)
+    worst = bucket_quantile(histogram, 0.99, keys).groupBy("window_start").agg(
+        F.max("quantile").alias("p99")
     )
+    return worst.withColumn("firing", F.col("p99") > limit)
 
 
 def error_alert(

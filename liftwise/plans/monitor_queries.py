@@ -213,19 +213,20 @@ cte(
     "SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM request_log",
     "request_log",
 )
-histogram("alert_hist", "alert_windows", "seconds", mon.LATENCY_BOUNDS, "window_start")
-quantile("alert_p99", "alert_hist", 0.99, "window_start")
+histogram("alert_hist", "alert_windows", "seconds", mon.LATENCY_BOUNDS, "window_start, path, status")
+quantile("alert_p99", "alert_hist", 0.99, "window_start, path, status")
 
 
 @query(
     "l12_latency_alert",
     with_(
         "alert_p99",
-        "SELECT window_start, round(quantile, 9) AS p99, quantile > 1 AS firing FROM alert_p99",
+        "SELECT window_start, round(max(quantile), 9) AS p99, max(quantile) > 1 AS firing "
+        "FROM alert_p99 GROUP BY 1",
     ),
 )
 def l12(spark, folder):
-    alert = mon.latency_alert(inputs.request_log(spark, folder))
+    alert = mon.latency_alert(inputs.request_log(spark, folder), by=["path", "status"])
     return alert.withColumn("p99", F.round("p99", 9))
 
 
@@ -332,27 +333,29 @@ def m4(spark, folder):
 @query(
     "m5_drift_per_window",
     with_(
-        "report_baseline report_missing",
+        " ".join(f"report_{name}" for name in SCENARIOS),
         " UNION ALL ".join(
-            f"SELECT 'batch-{n}' AS \"window\", metric, feature, round(value, 9) AS value "
-            f"FROM report_{s}"
-            for n, s in enumerate(("baseline", "missing"))
+            f'SELECT "window", metric, feature, round(value, 9) AS value FROM report_{name}'
+            for name in SCENARIOS
         ),
     ),
 )
 def m5(spark, folder):
-    """Two campaigns arrive one after the other and are compared with one profile."""
+    """Four campaigns of several files arrive, three files at a time, and each is compared
+    with one profile; a column names the campaign."""
     at = scratch(spark, "m5")
-    reference = _reference(spark, folder)
-    for scenario in ("baseline", "missing"):
-        _scenario(spark, folder, scenario).write.mode("append").parquet(f"{at}/in")
-        schema = spark.read.parquet(f"{at}/in").schema
-        arriving = jobs.file_stream(spark, f"{at}/in", schema, files_per_trigger=100_000)
-        _drain(
-            jobs.drift_stream(
-                arriving, reference, [*FEATURES, "uplift"], "draw", f"{at}/out", f"{at}/checkpoint"
-            )
+    for scenario in SCENARIOS:
+        rows = _scenario(spark, folder, scenario).withColumn("window", F.lit(scenario))
+        rows.repartition(2, "draw").write.mode("append").parquet(f"{at}/in")
+    schema = spark.read.parquet(f"{at}/in").schema
+    arriving = jobs.file_stream(spark, f"{at}/in", schema, files_per_trigger=3)
+    columns = [*FEATURES, "uplift"]
+    _drain(
+        jobs.drift_stream(
+            arriving, _reference(spark, folder), columns, "draw", f"{at}/rows", f"{at}/out",
+            f"{at}/checkpoint",
         )
+    )
     return spark.read.parquet(f"{at}/out").select(
         "window", "metric", "feature", F.round("value", 9).alias("value")
     )

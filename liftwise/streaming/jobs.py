@@ -127,16 +127,32 @@ def drift_stream(
     reference: DataFrame,
     columns: Sequence[str],
     key: str,
+    rows: str,
     path: str,
     checkpoint: str,
-    name: Callable[[int], str] = lambda batch: f"batch-{batch}",
+    window: str = "window",
 ) -> StreamingQuery:
-    """Drift of each arriving batch against a fixed profile, published per window."""
+    """Drift of each window, named by a column, against a fixed profile.
+
+    Arriving rows are kept under `rows`, by window and micro-batch (a batch that runs again
+    replaces its own), and the windows it touched are published anew from all their rows:
+    how many files a micro-batch takes never changes the result. Rows without a window are
+    in none.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            window = name(number)
-            publish_metrics(drift_report(reference, batch, columns, key, window), path, window)
+        spark = batch.sparkSession
+        kept = batch.where(F.col(window).isNotNull()).withColumn("_batch", F.lit(number))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            window, "_batch"
+        ).parquet(rows)
+        # Their names only; a micro-batch touches few windows.
+        for (name,) in batch.where(F.col(window).isNotNull()).select(window).distinct().collect():
+            stored = spark.read.schema(kept.schema).parquet(rows)
+            current = stored.where(F.col(window) == F.lit(name)).drop(window, "_batch")
+            publish_metrics(
+                drift_report(reference, current, columns, key, str(name)), path, str(name)
+            )
 
     return each_batch(stream, handle, checkpoint)
 

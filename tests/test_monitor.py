@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from liftwise.operators import drift as dr
 from liftwise.operators import monitor as mon
 from liftwise.streaming import jobs
 
@@ -55,6 +56,10 @@ def test_alerts(spark):
     df = log(spark, rows)
     slow = {r["window_start"].minute: r["firing"] for r in mon.latency_alert(df).collect()}
     assert slow == {0: True, 5: False, 10: False}
+    mixed = log(spark, [*rows, *[(s, "b", 0.01, 204) for s in range(0, 300, 1) for _ in range(20)]])
+    pooled = mon.latency_alert(mixed).where("firing").count()
+    by_series = mon.latency_alert(mixed, by=["status"]).where("firing").count()
+    assert (pooled, by_series) == (0, 1)
     failed = {r["window_start"].minute: (r["errors"], r["firing"]) for r in mon.error_alert(df).collect()}
     assert failed == {0: (5, False), 5: (5, False), 10: (5, False)}
     assert mon.error_alert(df, limit=4).where("firing").count() == 3
@@ -127,3 +132,22 @@ def test_late_requests_do_not_turn_the_clock_back():
     accepted, tokens, last = take_tokens([100.0, 100.0, 100.0], 2, 86400.0, 2.0, 200_000.0)
     assert accepted == [True, True, False]
     assert (tokens, last) == (0.0, 200_000.0)
+
+
+@pytest.mark.parametrize("files", [1, 100])
+def test_drift_windows_do_not_depend_on_the_read_rate(spark, tmp_path, files):
+    rows = [(k, float(k % 7), "even" if k % 2 else "odd") for k in range(60)] + [(60, 1.0, None)]
+    df = spark.createDataFrame(rows, "key long, v double, window string")
+    for part in range(3):
+        df.where(f"key % 3 = {part}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    reference = dr.profile(df, ["v"])
+    arriving = jobs.file_stream(spark, f"{tmp_path}/in", df.schema, files_per_trigger=files)
+    at = [f"{tmp_path}/{name}" for name in ("rows", "out", "checkpoint")]
+    jobs.drift_stream(arriving, reference, ["v"], "key", *at).awaitTermination()
+    got = {(r["window"], r["metric"]): r["value"] for r in spark.read.parquet(at[1]).collect()}
+    for name in ("even", "odd"):
+        whole = dr.drift_report(reference, df.where(F.col("window") == name), ["v"], "key").collect()
+        assert {r["metric"]: r["value"] for r in whole} == pytest.approx(
+            {metric: value for (window, metric), value in got.items() if window == name}
+        )
+    assert {window for window, _ in got} == {"even", "odd"}
