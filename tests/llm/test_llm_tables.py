@@ -9,6 +9,7 @@ import pytest
 from parity import database, sql_rows
 
 from liftwise.llm import decontaminate, line_dedup, ngram_join, queries, suffix_tree
+from liftwise.llm.components import components, merged
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -168,3 +169,24 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
         before = docs.count()
     assert pipeline.STAGES[-1][1](spark, docs, TABLES).count() == before
     assert pipeline.run(spark, TABLES).count() == before
+
+
+def test_links_between_components_join_their_labels(spark):
+    links = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    labels = components(links([(1, 2), (2, 3), (10, 11)]))
+    more = links([(3, 11), (3, 11), (2, 10), (20, 21), (21, 5), (1, 3)])
+    got = {r["node"]: r["label"] for r in merged(labels, more).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 5: 5, 20: 5, 21: 5}
+    assert merged(labels, links([(1, 3)])).count() == labels.count() == 5
+    assert merged(labels.limit(0), links([(7, 6)])).orderBy("node").collect() == [(6, 6), (7, 6)]
+
+
+def test_rows_outside_a_large_bucket_are_closed(spark):
+    """More near copies than a block holds, some of them linked only through a few others."""
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join([*base, *(f"x{n}" for n in range(k % 6))]) for k in range(40)]
+    texts += [" ".join([*base, *(f"x{n}" for n in range(m))]) for m in range(6, 16)]
+    rows = [(k, t, "x") for k, t in enumerate([*texts, "apart " * 30])]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame(spark, rows)).collect()}
+    want = brute_components(rows, 3, 90)
+    assert got == want
