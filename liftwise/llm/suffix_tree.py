@@ -1,17 +1,21 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Training documents are counted in Spark, level by level: words, then the next words of each
-context that is frequent enough, for contexts of one and of two words. A context is kept when
-its next-word distribution diverges from that of its suffix (count-weighted Kullback-Leibler
-divergence). A kept context has discounted probabilities for its own next words and leaves
-the freed mass to the next shorter suffix, down to add-one word probabilities, so that each
+context seen MIN_COUNT times, for contexts of one to DEPTH words. A context is kept when its
+next-word distribution diverges from that of its suffix (Kullback-Leibler divergence). A kept
+context has discounted probabilities for its next words seen MIN_COUNT times and leaves the
+freed mass to the next shorter suffix, down to add-one word probabilities, so that each
 state's distribution sums to one. A text's score adds up log10 probabilities from the longest
 kept suffix at each token.
 
-Sizes: a context has at least CONTEXT_SHARE of all tokens, a next word of a context at least
-PAIR_SHARE, a head word at least HEAD_SHARE, so there are at most 1 / share of each, whatever
-the corpus; these tables are broadcast. All other words (the tail) are joined with their
-counts in a shuffle, so every word counts exactly.
+Both floors are counts, so the model grows with the corpus. It is a stored table of n-grams
+under 64-bit keys. An n-gram's weight is what its last word gains in it over the shorter
+suffix, and what backing off from it costs the word after it; a text's score is the sum of
+its words' base scores and its n-grams' weights. Levels are built and texts are scored by
+shuffle joins on keys. Broadcast are caches of bounded size, which change no result: words of
+at least HEAD_SHARE of all tokens, n-grams of at least PAIR_SHARE with their weights, and
+bitmaps of BITS bits that only let through too much. Contexts and suffixes of at least
+CONTEXT_SHARE of all tokens, so the hot ones, are looked up in a broadcast too.
 
 Tokens are words between ASCII white space with A-Z in lower case, then one end. Rows whose
 id's crc32 mod 7 is 2 are held out of training. Null or empty text is one end. A row without
@@ -22,38 +26,39 @@ are rows of their own. Only doc_id and text are read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftwise.llm.batches import lower_words, small_batches, stored
+from liftwise.llm.batches import Cache, lower_words, mix, small_batches, stored
 
-DEPTH = 2
+DEPTH = 3
 HEAD_SHARE = 2.0**-21
 CONTEXT_SHARE = 2e-5
 PAIR_SHARE = 2.0**-21
 MIN_COUNT = 8
 DIVERGENCE = 0.01
 DISCOUNT = 0.5
+BITS = 1 << 25
 END = "\n"  # no word holds it
 FLUSH = 300_000
 FOLDS, HELD = 7, 2
 
+_hash = Cache(xxhash.xxh64_intdigest)
+END_HASH = np.uint64(xxhash.xxh64_intdigest(END))
+
 
 def held_out() -> Column:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
     return F.coalesce(fold == HELD, F.lit(False))
 
 
-def tokens(text: str | None) -> list[str]:
-    return [*(w.decode("utf-8", "replace") for w in lower_words(text)), END]
-
-
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, c), words and the end of all training texts; each task combines its own first."""
     schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
@@ -79,118 +84,97 @@ def word_counts(train: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-@dataclass
-class Level:
-    """Contexts of one length. `codes`: sorted context codes; their counts, back-off weights
-    (log10) and, sorted by context and word, the next words' log10 probabilities."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hash.__getitem__, words), np.uint64, len(words))
+
+
+def token_hashes(texts: Iterable[str | None]) -> np.ndarray:
+    """Word hashes of all texts in a row, each text with its end."""
+    end = END.encode()
+    return np.concatenate(
+        [np.zeros(0, np.uint64), *(word_hashes([*lower_words(t), end]) for t in texts)]
+    )
+
+
+def first_keys(hashes: np.ndarray) -> np.ndarray:
+    return mix(hashes + np.uint64(0x9E3779B97F4A7C15))
+
 
-    codes: np.ndarray
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    logs: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    back: np.ndarray = field(default_factory=lambda: np.zeros(0))
+def joined_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Keys of n-grams from those of all their words but the last and all but the first."""
+    return mix(context * np.uint64(3) + suffix)
+
+
+def grams(hashes: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1 to `longest`, the keys of the n-grams from each place on, and which of them
+    lie in one text: an end is an n-gram's last word only."""
+    key, inside, ends = first_keys(hashes), np.ones(len(hashes), bool), hashes == END_HASH
+    out = [(key, inside)]
+    for n in range(1, longest):
+        size = max(len(key) - 1, 0)
+        inside = inside[:size] & inside[1:] & ~ends[n - 1 : n - 1 + size]
+        key = joined_keys(key[:size], key[1:])
+        out.append((key, inside))
+    return out
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Which values of key mod BITS occur, as packed bits."""
+    at = F.pmod("key", F.lit(BITS)) + 1  # Spark counts places from 1
+    parts = (
+        keys.select(at.alias("at"))
+        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    )
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in parts.collect():
+        some = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[(r["bucket"] - 1) * len(some) : r["bucket"] * len(some)] = some
+    return out
+
+
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(BITS - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 class Tree:
-    """Head words and kept contexts. Contexts of length k are numbered; a context's code is
-    (number of the context one word shorter, ending before its last word) * head + last word,
-    a next-word code is context number * head + word."""
+    """What is broadcast: head words with their base log10, and the cached n-grams' sorted
+    keys with their weights and the part of them that is the cost of backing off."""
 
     def __init__(self, head: dict[str, int], counts: np.ndarray, total: int, distinct: int):
-        self.head, self.counts = head, counts
+        self.head = head
         self.total, self.distinct = total, distinct
         self.base = np.log10((counts + 1) / (total + distinct + 1))
-        self.levels: list[Level] = []
+        self.keys, self.weights, self.backs = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+        self.bits = np.zeros(BITS // 8, np.uint8)
+
+    @cached_property
+    def places(self) -> dict[bytes, int]:
+        return {w.encode(): i for w, i in self.head.items()}
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        """By head word; the last one is for words that are none."""
+        return np.append(word_hashes([w.encode() for w in self.head]), np.uint64(0))
 
     def ids(self, words: list[str]) -> np.ndarray:
         get = self.head.get
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
-    def contexts(self, ids: np.ndarray) -> list[np.ndarray]:
-        """For each level, the number of the context before each token, -1 if none."""
-        out, shorter = [], np.zeros(len(ids), np.int64)
-        for level in self.levels:
-            code = np.full(len(ids), -1, np.int64)
-            before, last = shorter[:-1], ids[:-1]
-            code[1:] = np.where((before >= 0) & (last >= 0), before * len(self.head) + last, -1)
-            shorter = _find(level.codes, code)
-            out.append(shorter)
-        return out
-
-    def probabilities(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 P(word | context) for contexts of `level`; level -1 is the base."""
-        if level < 0:
-            return self.base[word]
-        own = self.levels[level]
-        at = _find(own.pairs, context * len(self.head) + word)
-        rest = own.back[context] + self.probabilities(
-            level - 1, self.suffixes[level][context] if level else context, word
-        )
-        return np.where(at >= 0, own.logs[np.maximum(at, 0)] if len(own.logs) else 0.0, rest)
-
-    @property
-    def suffixes(self) -> list[np.ndarray]:
-        """For each level, the number of each context's suffix on the level below."""
-        out = [np.zeros(0, np.int64)]
-        for k in range(1, len(self.levels)):
-            last = self.levels[k].codes % len(self.head)
-            if k == 1:
-                code = last
-            else:
-                before = self.levels[k].codes // len(self.head)
-                code = out[k - 1][before] * len(self.head) + last
-            out.append(_find(self.levels[k - 1].codes, code))
-        return out
-
-    def fit_level(self, codes: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> None:
-        """Add a level of contexts with the counts of their next words. Contexts that do not
-        diverge from their suffix keep no next words: they read on in the suffix."""
-        size, level = len(self.head), len(self.levels)
-        own = Level(codes, back=np.zeros(len(codes)))
-        self.levels.append(own)
-        if not len(pairs):
-            return
-        seen = np.bincount(pairs // size, counts, len(codes))  # next tokens, head words only
-        whole = np.maximum(self.context_counts(codes, level), seen)
-        few = max(MIN_COUNT, PAIR_SHARE * self.total)
-        some = counts >= few
-        pairs, counts = pairs[some], counts[some]
-        context, word = pairs // size, pairs % size
-        below = self.suffixes[level][context] if level else context
-        short = 10 ** self.probabilities(level - 1, below, word)
-        share = (counts - DISCOUNT) / whole[context]
-        kept = np.bincount(context, share, len(codes))
-        under = np.minimum(np.bincount(context, short, len(codes)), 1 - 1e-9)
-        gain = np.bincount(context, share * np.log(share / short), len(codes))
-        free = 1 - kept
-        gain += free * np.log(np.maximum(free, 1e-12) / (1 - under))
-        diverges = (gain >= DIVERGENCE) & (kept > 0)
-        use = diverges[context]
-        own.pairs, own.logs = pairs[use], np.log10(share[use])
-        own.back = np.where(diverges, np.log10(np.maximum(free, 1e-12) / (1 - under)), 0.0)
-
-    def context_counts(self, codes: np.ndarray, level: int) -> np.ndarray:
-        if level == 0:
-            return self.counts[codes].astype(np.float64)
-        return self._code_counts.astype(np.float64)
-
     def score(self, ids: np.ndarray) -> tuple[float, float, np.ndarray]:
-        """Base and model log10 sums of a text's head words; the model sum also holds the
-        back-off weights before tail words, whose own log10 comes from the join."""
+        """Base and model log10 sums of a text's head words, from cached n-grams; the model sum
+        also holds the cost of backing off before tail words. The text may lack its end: then
+        no word is read after the last one."""
         known = ids >= 0
-        base = self.base[ids[known]]
-        total, open_ = 0.0, np.ones(len(ids), bool)
-        word = np.maximum(ids, 0)
-        for level, context in reversed(list(enumerate(self.contexts(ids)))):
-            own = self.levels[level]
-            here = open_ & (context >= 0)
-            if not here.any():
-                continue
-            at = _find(own.pairs, np.where(known, context * len(self.head) + word, -1))
-            found = here & (at >= 0)
-            total += float(own.logs[at[found]].sum())
-            total += float(own.back[context[here & ~found]].sum())
-            open_ &= ~found
-        return float(base.sum()), total + float(self.base[ids[open_ & known]].sum()), known
+        base = total = float(self.base[ids[known]].sum())
+        for n, (keys, inside) in enumerate(grams(self.hashes[ids], DEPTH + 1), 1):
+            at = _find(self.keys, keys)
+            at[~inside] = -1
+            total += float(self.weights[at[at >= 0]].sum())
+            if len(ids) >= n and at[len(ids) - n] >= 0:
+                total -= float(self.backs[at[len(ids) - n]])
+        return base, total, known
 
 
 def _find(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -201,69 +185,126 @@ def _find(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(ordered[at] == values, at, -1)
 
 
-def next_counts(train: DataFrame, tree: Tree, codes: np.ndarray) -> DataFrame:
-    """(pair, c): how often head words follow the contexts `codes` of a new level."""
-    shared = train.sparkSession.sparkContext.broadcast((tree, codes))
-    schema = pa.schema([("pair", pa.int64()), ("c", pa.int64())])
+def gram_counts(train: DataFrame, n: int, shorter: DataFrame) -> DataFrame:
+    """(ctx, suf, c, key) of the n-grams seen MIN_COUNT times: keys of all words but the last
+    and of all but the first. Both are among `shorter`, the (n-1)-grams seen so often."""
+    shared = train.sparkSession.sparkContext.broadcast(bitmap(shorter))
+    schema = pa.schema([("ctx", pa.int64()), ("suf", pa.int64()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, codes = shared.value
-        size, found, held = len(tree.head), [], 0
+        found, held = [], 0
 
         def rows():
-            pairs, counts = np.unique(np.concatenate(found), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], schema=schema)
+            context, suffix = (np.concatenate(f) for f in zip(*found, strict=True))
+            _, first, times = np.unique(
+                joined_keys(context, suffix), return_index=True, return_counts=True
+            )
+            return pa.RecordBatch.from_arrays(
+                [pa.array(context[first].view(np.int64)), pa.array(suffix[first].view(np.int64)),
+                 pa.array(times)], schema=schema)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = tree.ids(tokens(text))
-                levels = tree.contexts(ids)
-                shorter = levels[-1] if levels else np.zeros(len(ids), np.int64)
-                before, last, word = shorter[:-1], ids[:-1], ids[1:]
-                good = (before >= 0) & (last >= 0) & (word >= 0)
-                context = _find(codes, before[good] * size + last[good])
-                pairs = (context * size + word[good])[context >= 0]
-                found.append(pairs)
-                held += len(pairs)
-                if held > 4 * FLUSH:
-                    yield rows()
-                    found, held = [], 0
+            *_, (keys, _), (_, inside) = grams(token_hashes(batch.column(0).to_pylist()), n)
+            often = _passes(shared.value, keys)
+            good = np.flatnonzero(inside & often[:-1] & often[1:])
+            found.append((keys[good], keys[good + 1]))
+            held += len(good)
+            if held > 8 * FLUSH:
+                yield rows()
+                found, held = [], 0
         if held:
             yield rows()
 
-    partial = train.select("text").mapInArrow(count, "pair long, c long")
-    return partial.groupBy("pair").agg(F.sum("c").alias("c"))
+    @F.pandas_udf("long")
+    def key(context: pd.Series, suffix: pd.Series) -> pd.Series:
+        sides = (s.to_numpy(np.int64).view(np.uint64) for s in (context, suffix))
+        return pd.Series(joined_keys(*sides).view(np.int64))
+
+    partial = train.select("text").mapInArrow(count, "ctx long, suf long, c long")
+    often = partial.groupBy("ctx", "suf").agg(F.sum("c").alias("c")).where(F.col("c") >= MIN_COUNT)
+    return stored(often.withColumn("key", key("ctx", "suf")), "grams")
+
+
+def looked_up(rows: DataFrame, on: str, table: DataFrame, hot: float, how: str = "inner") -> DataFrame:
+    """rows joined with the table (on, c, ...) by `on`, c left out. The table's rows of at least
+    `hot` tokens, at most 1 / CONTEXT_SHARE, are broadcast, so that no key fills a task."""
+    many, few = table.where(F.col("c") >= hot).drop("c"), table.where(F.col("c") < hot).drop("c")
+    cold = rows.join(F.broadcast(many.select(on)), on, "left_anti").join(few, on, how)
+    return rows.join(F.broadcast(many), on).unionByName(cold)
+
+
+def fit_level(found: DataFrame, below: DataFrame, hot: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From the n-grams of a level and the (n-1)-grams (key, c, lp: log10 of the last word's
+    probability after the others): the same of the n-grams, the contexts kept with the cost of
+    backing off, and the weights of the kept contexts' n-grams. Contexts that do not diverge
+    from their suffix keep no next words: they read on in the suffix."""
+    near = looked_up(found, "suf", below.select(F.col("key").alias("suf"), "c", F.col("lp").alias("short")), hot)
+    near = looked_up(near.drop("suf"), "ctx",
+                     below.select(F.col("key").alias("ctx"), "c", F.col("c").alias("whole")), hot)
+    near = stored(near.withColumn("share", (F.col("c") - DISCOUNT) / F.col("whole")), "near")
+    short = F.pow(F.lit(10.0), "short")
+    left = F.greatest(1 - F.col("kept"), F.lit(1e-12)) / (1 - F.least("under", F.lit(1 - 1e-9)))
+    contexts = stored(
+        near.groupBy("ctx").agg(
+            F.max("whole").alias("c"),
+            F.sum("share").alias("kept"),
+            F.sum(short).alias("under"),
+            F.sum(F.col("share") * F.log(F.col("share") / short)).alias("gain"),
+        )
+        .where(F.col("gain") + (1 - F.col("kept")) * F.log(left) >= DIVERGENCE)
+        .select("ctx", "c", F.log10(left).alias("back")),
+        "contexts",
+    )
+    judged = looked_up(near.drop("whole"), "ctx", contexts, hot, "left")
+    delta = F.log10("share") - F.col("back") - F.col("short")
+    judged = stored(
+        judged.select("key", "c", "short", F.coalesce(delta, F.lit(0.0)).alias("delta"),
+                      F.coalesce(F.log10("share") + F.lit(0.0) * F.col("back"), "short").alias("lp")),
+        "level",
+    )
+    own = judged.where("delta <> 0").select("key", "c", "delta", F.lit(0.0).alias("back"))
+    backs = contexts.select(F.col("ctx").alias("key"), "c", F.lit(0.0).alias("delta"), "back")
+    return judged.select("key", "c", "lp"), backs, own
 
 
-def fit(train: DataFrame, counts: DataFrame) -> Tree:
-    """The tree from training texts and their stored word counts."""
+def fit_tables(train: DataFrame, counts: DataFrame) -> tuple[Tree, DataFrame]:
+    """The tree from training texts and their stored word counts, and all n-grams' weights
+    (key, c, delta, back); a key may have two rows, whose weights add up."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word")).first()
     head = counts.where(F.col("c") >= max(1.0, HEAD_SHARE * total)).toPandas()
     head = head.sort_values(["c", "word"], ascending=[False, True])
     tree = Tree(
         {w: i for i, w in enumerate(head["word"])}, head["c"].to_numpy(np.int64), total, distinct
     )
-    size, least = len(tree.head), max(MIN_COUNT, CONTEXT_SHARE * total)
-    codes = np.flatnonzero(tree.counts >= least)
-    end = tree.head.get(END, -1)
-    codes = codes[codes != end]
-    for level in range(DEPTH):
-        if not len(codes):
-            break
-        few = min(max(MIN_COUNT, PAIR_SHARE * total), least)
-        pairs = next_counts(train, tree, codes).where(F.col("c") >= few).toPandas()
-        pairs = pairs.sort_values("pair")
-        keys, times = pairs["pair"].to_numpy(np.int64), pairs["c"].to_numpy(np.int64)
-        tree.fit_level(codes, keys, times)
-        # A frequent context and next word, itself a context of the level above.
-        often = (times >= least) & (keys % size != end)
-        codes, tree._code_counts = keys[often], times[often]
-    return tree
+
+    @F.pandas_udf("long")
+    def key(words: pd.Series) -> pd.Series:
+        return pd.Series(first_keys(word_hashes([w.encode() for w in words])).view(np.int64))
+
+    log = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
+    below = stored(
+        counts.where(F.col("c") >= MIN_COUNT).select(key("word").alias("key"), "c", log.alias("lp")), "words"
+    )
+    hot, parts = max(1.0, CONTEXT_SHARE * total), []
+    for n in range(2, DEPTH + 2):
+        below, *weights = fit_level(gram_counts(train, n, below), below, hot)
+        parts += weights
+    weights = stored(reduce(DataFrame.unionByName, parts), "weights")
+    cached = weights.where(F.col("c") >= PAIR_SHARE * total).drop("c").toPandas()
+    tree.keys, at = np.unique(cached["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+    tree.backs = np.bincount(at, cached["back"].to_numpy(np.float64), len(tree.keys))
+    tree.weights = tree.backs + np.bincount(at, cached["delta"].to_numpy(np.float64), len(tree.keys))
+    tree.bits = bitmap(weights)
+    return tree, weights
+
+
+def fit(train: DataFrame, counts: DataFrame) -> Tree:
+    return fit_tables(train, counts)[0]
 
 
 SCORED = (
     "n_tokens long, n_head long, head_base double, head_score double, "
-    "tail array<struct<word: string, tf: long>>"
+    "tail array<struct<word: string, tf: long>>, rest array<long>"
 )
 
 
@@ -274,20 +315,38 @@ def score_documents(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     train = docs.where(~held_out())
     counts = stored(word_counts(train), "word-counts")
-    tree = fit(train, counts)
+    tree, weights = fit_tables(train, counts)
     shared = spark.sparkContext.broadcast(tree)
 
     @F.pandas_udf(SCORED)
     def score(texts: pd.Series) -> pd.DataFrame:
-        tree, rows = shared.value, []
+        tree, rows, hashes = shared.value, [], []
+        get, end = tree.places.get, END.encode()
         for t in texts:
-            words = tokens(t)
-            ids = tree.ids(words)
-            base, model, known = tree.score(ids)
+            words = [*lower_words(t), end]
+            hashes.append(word_hashes(words))
+            ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+            known = ids >= 0
             rare = Counter(words[i] for i in np.flatnonzero(~known))
-            rows.append((len(words), int(known.sum()), base, model,
-                         [{"word": w, "tf": n} for w, n in rare.items()]))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in SCORED.split(", ", 4)])
+            rows.append((len(words), int(known.sum()), float(tree.base[ids[known]].sum()),
+                         [{"word": w.decode(), "tf": n} for w, n in rare.items()]))
+        out = pd.DataFrame(rows, columns=["n_tokens", "n_head", "head_base", "tail"])
+        row = np.repeat(np.arange(len(rows)), out["n_tokens"].to_numpy(np.int64))
+        sums, rest = np.zeros(len(rows)), [[] for _ in rows]
+        every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        for keys, inside in grams(every, DEPTH + 1):
+            at = np.flatnonzero(inside & _passes(tree.bits, keys))
+            some, where = np.unique(keys[at], return_inverse=True)
+            place = _find(tree.keys, some)[where]
+            here = place >= 0
+            sums += np.bincount(row[at[here]], tree.weights[place[here]], len(rows))
+            left = at[~here]
+            cuts = np.searchsorted(row[left], np.arange(1, len(rows)))
+            for list_, part in zip(rest, np.split(keys[left].view(np.int64), cuts), strict=False):
+                list_.append(part)
+        out["head_score"] = out["head_base"] + sums
+        out["rest"] = [np.concatenate(r) for r in rest]
+        return out[["n_tokens", "n_head", "head_base", "head_score", "tail", "rest"]]
 
     scored = stored(
         docs.select("doc_id", F.monotonically_increasing_id().alias("row"), score("text").alias("s"))
@@ -297,17 +356,25 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rare = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.tf")
     floor = float(tree.total + tree.distinct + 1)
     few = counts.where(F.col("c") < max(1.0, HEAD_SHARE * tree.total))
-    log = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(floor))
+    log = F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(floor))
+    known = F.when(F.col("c") > 0, F.col("tf")).otherwise(0)
+    tails = rare.join(few, "word", "left").select(
+        "row", log.alias("base"), known.alias("known"), F.lit(0.0).alias("weight")
+    )
+    others = weights.where(F.col("c") < PAIR_SHARE * tree.total)
+    rest = scored.select("row", F.explode("rest").alias("key")).join(others, "key")
+    weight = (F.col("delta") + F.col("back")).alias("weight")
     tails = (
-        rare.join(few, "word", "left")
+        tails.unionByName(rest.select("row", F.lit(0.0).alias("base"), F.lit(0).alias("known"), weight))
         .groupBy("row")
         .agg(
-            F.sum(F.col("tf") * log).alias("tail_base"),
-            F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("n_tail"),
+            F.sum("base").alias("tail_base"),
+            F.sum("known").alias("n_tail"),
+            F.sum("weight").alias("rest_score"),
         )
         .withColumnRenamed("row", "of_row")
     )
-    tail = F.coalesce("tail_base", F.lit(0.0))
+    tail, grown = F.coalesce("tail_base", F.lit(0.0)), F.coalesce("rest_score", F.lit(0.0))
     return scored.join(tails, scored["row"] == tails["of_row"], "left").select(
         "doc_id",
         held_out().alias("held_out"),
@@ -315,5 +382,5 @@ def score_documents(docs: DataFrame) -> DataFrame:
         (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
         F.lit(int(tree.total)).cast("long").alias("train_tokens"),
         (F.col("head_base") + tail).alias("base_score"),
-        (F.col("head_score") + tail).alias("score"),
+        (F.col("head_score") + tail + grown).alias("score"),
     )

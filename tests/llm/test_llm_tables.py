@@ -133,6 +133,22 @@ def test_scores(spark, monkeypatch):
     assert suffix_tree.score_documents(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_shares_of_the_corpus_change_no_score(spark, monkeypatch):
+    """A context and next word seen MIN_COUNT times count, however small their share is."""
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice("abcdefgh") for _ in range(60)), "x") for i in range(100)]
+    rows += [(i, f"{r.choice('abcd')} one two three four", "x") for i in range(200, 212)]
+    found = []
+    for share in (0.0, 0.004, 0.5):
+        for name in ("HEAD_SHARE", "PAIR_SHARE", "CONTEXT_SHARE"):
+            monkeypatch.setattr(suffix_tree, name, share)
+        got = suffix_tree.score_documents(frame(spark, rows)).collect()
+        found.append({r["doc_id"]: (r["base_score"], r["score"]) for r in got})
+    for d, (base, score) in found[0].items():
+        assert all(f[d] == pytest.approx((base, score), abs=1e-6) for f in found)
+        assert d < 200 or score > base + 3  # the rare phrase is learnt
+
+
 def test_next_word_probabilities_sum_to_one(spark, monkeypatch):
     for name in ("HEAD_SHARE", "PAIR_SHARE", "CONTEXT_SHARE"):
         monkeypatch.setattr(suffix_tree, name, 0.0)
