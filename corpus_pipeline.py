@@ -13,6 +13,8 @@ from liftwise.session import tune
 
 # Ids that a stage rejects are broadcast up to this many, and joined by a shuffle beyond.
 BROADCAST_IDS = 200_000
+# Near copies of the stage: shingles of five words, four fifths in common (op4 has its own).
+STAGE_WIDTH, STAGE_PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one of the smallest doc_id."""
     tune(spark)
-    found = ngram_join.jaccard_components(docs)
+    found = ngram_join.jaccard_components(docs, STAGE_WIDTH, STAGE_PERCENT)
     gone = stored(
         found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(),
         "duplicates",

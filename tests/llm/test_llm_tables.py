@@ -206,3 +206,17 @@ def test_rows_outside_a_large_bucket_are_closed(spark):
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame(spark, rows)).collect()}
     want = brute_components(rows, 3, 90)
     assert got == want
+
+
+def test_pipeline_join_takes_five_words_and_four_fifths(spark):
+    """One word of 47 changed: 38 of 48 windows of five words in common, 42 of 48 of three."""
+    import corpus_pipeline as pipeline
+
+    words = [f"w{k}" for k in range(60)]
+    near = [*words[:30], "changed", *words[31:]]  # 5 of 56 windows change: 51 of 61 in common
+    far = [w if k not in (10, 30) else "other" for k, w in enumerate(words)]  # 46 of 66
+    rows = [(1, " ".join(words), "x"), (2, " ".join(near), "x"), (3, " ".join(far), "x")]
+    sets = [ngram_join.word_set(t, 5) for _, t, _ in rows]
+    assert [round(len(sets[0] & s) / len(sets[0] | s), 3) for s in sets] == [1.0, 0.836, 0.697]
+    kept = pipeline.jaccard_join(spark, frame(spark, rows), TABLES).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3]
