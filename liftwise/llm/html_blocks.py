@@ -13,8 +13,9 @@ header, footer, aside, form) tell main text from the rest. Nothing else is colle
 weights are broadcast.
 
 Character references are decoded, white space inside a block becomes one space. Scripts,
-styles, heads, form controls and comments of the markup are never text. Null or empty html
-gives an empty text. Other columns are not read.
+styles, heads, form controls and comments of the markup are never text. A head ends at the
+first tag or text that may not stand in it, a select or button without an end tag at the next
+block. Null or empty html gives an empty text. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,6 +48,11 @@ NEVER = frozenset(
     "head title template noscript iframe object svg math canvas audio video map select option "
     "textarea button datalist input".split()
 )
+IN_HEAD = frozenset(
+    "html head title base basefont bgsound link meta noscript noframes script style template".split()
+)
+FOREIGN = frozenset(("svg", "math"))
+LOOSE = frozenset(("option", "optgroup", "select", "button"))  # a block ends them if unclosed
 RAW = frozenset(("script", "style", "xmp"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -58,6 +64,8 @@ MARKUP = re.compile(
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
+# Not a tag that closes itself: the slash belongs to an attribute's value.
+VALUE_SLASH = re.compile(r"=\s*[^\s\"'>]+/>$")
 
 
 class Block:
@@ -70,32 +78,49 @@ class Block:
 def page_blocks(html: str | None) -> list[Block]:
     """The leaf blocks of a page, with decoded text and the names along their path."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], bool]] = []  # tag, names, whether it is loose
     parts: list[str] = []
     state = {"links": 0, "in_link": 0, "hidden": 0}
 
     def flush() -> None:
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            path = tuple(name for _, names in stack for name in names)
+            path = tuple(name for _, names, _ in stack for name in names)
             blocks.append(Block(text, path, min(state["links"], len(text))))
         parts.clear()
         state["links"] = 0
 
     def add(text: str) -> None:
+        if stack and stack[-1][0] == "head" and not text.isspace() and text:
+            pop(len(stack) - 1)
         if text and not state["hidden"]:
             parts.append(text)
             if state["in_link"]:
                 state["links"] += len(text)
 
     def pop(to: int) -> None:
-        for tag, _ in stack[to:]:
+        for tag, _, _ in stack[to:]:
             if tag in NEVER:
                 state["hidden"] -= 1
         del stack[to:]
 
+    def leave_head() -> None:
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in ("title", "template", "noscript"):
+                break
+            if stack[i][0] == "head":
+                pop(i)
+                break
+
+    def unclosed(tag: str) -> bool:
+        if tag not in ends:
+            ends[tag] = re.compile(f"<(/?){tag}(?=[\\s/>])", re.I)
+        found = ends[tag].search(html, at)
+        return not found or not found[1]
+
     html = html or ""
     at = 0
+    ends: dict[str, re.Pattern] = {}
     while at < len(html):
         m = MARKUP.search(html, at)
         if not m:
@@ -107,6 +132,8 @@ def page_blocks(html: str | None) -> list[Block]:
             continue
         closing = tag_text[1] == "/"
         tag = re.match(r"</?([^\s/>]+)", tag_text)[1].lower()
+        if not closing and tag not in IN_HEAD:
+            leave_head()
         if tag == "br":
             add(" ")
         elif tag == "a":
@@ -126,11 +153,9 @@ def page_blocks(html: str | None) -> list[Block]:
                 continue
             if tag in BLOCKS and stack and stack[-1][0] == "p":
                 pop(len(stack) - 1)
-            if tag == "body":
-                for i, (open_, _) in enumerate(stack):
-                    if open_ == "head":
-                        pop(i)
-                        break
+            if tag in BLOCKS:
+                while stack and stack[-1][2]:
+                    pop(len(stack) - 1)
             if tag in CLOSED_BY:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in CLOSED_BY[tag]:
@@ -140,10 +165,14 @@ def page_blocks(html: str | None) -> list[Block]:
                         break
             if tag in VOID:
                 continue
+            if tag_text.endswith("/>") and not VALUE_SLASH.search(tag_text):
+                if tag in FOREIGN or any(open_ in FOREIGN for open_, _, _ in stack):
+                    continue
             names = [f"<{tag}>"]
             for found in NAMES.finditer(tag_text):
                 names += PART.findall((found[1] or found[2] or found[3] or "").lower())
-            stack.append((tag, tuple(names)))
+            loose = tag in LOOSE and (tag in ("option", "optgroup") or unclosed(tag))
+            stack.append((tag, tuple(names), loose))
             if tag in NEVER:
                 state["hidden"] += 1
     flush()

@@ -169,6 +169,24 @@ def test_page_blocks():
     assert html_blocks.page_blocks(None) == html_blocks.page_blocks("") == []
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<article><p>A</p><svg class="x"/><p>B</p><math/><p>C</p></article>', ["A", "B", "C"]),
+        ("<article><svg><title/><path/>no</svg><p>B</p><svg href=x/>no</svg>C</article>", ["B", "C"]),
+        ("<head><title>x</title><h1>A</h1><p>B", ["A", "B"]),
+        ("<html><head><meta name=a><title>x <b>y</title><style>p{}</style><span>A</span><p>B", ["A", "B"]),
+        ("<head><title>x</title> \n A<p>B", ["A", "B"]),
+        ("<head><noscript><img src=x>no</noscript></head><body><p>B", ["B"]),
+        ("<div><button>no<p>A</p><button>no</button><p>B", ["A", "B"]),
+        ("<article><select><option>no<option>no<p>A</p>B</article>", ["A", "B"]),
+        ("<button><div>no</div><p>no</p></button><select><option>no<hr>no</select><p>A", ["A"]),
+    ],
+)
+def test_text_is_hidden_no_longer_than_its_container(html, want):
+    assert [b.text for b in html_blocks.page_blocks(html)] == want
+
+
 def test_labeller_on_layouts_it_has_not_seen(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, "")], "page_id long, url string, html string")
     model = html_blocks.fit(pages, layouts=160)
