@@ -4,10 +4,19 @@ Words become template tokens: stripped and in lower case, with numbers, units af
 and names (capitalised inside a sentence) replaced by typed placeholders. Windows of WINDOW
 template tokens are hashed, on whole texts of both sides, and hash-joined. (Windows in which
 placeholders outnumber words are hashed with their values instead: alone they say nothing.)
-Windows of one document and item on one diagonal form an alignment; its slots must be
-consistent: one value of the item stands for one value of the document and the other way
-round. An item is found in a document when consistent alignments cover at least COVER percent
-of its tokens: `verbatim` when all slot values agree, else a re-parameterised question.
+Windows with slots are hashed by their words in lower case as well, so that a copy that tells
+names by no capital meets its item.
+
+Windows of one document and item on one diagonal form an alignment. Windows of equal values
+always count. Of windows with other values those count whose values are consistent: one
+value of the item stands for one value of the document and the other way round. A changed
+value that conflicts with an equal one (one of two 2019 became 2020) drops its windows only;
+when changed values conflict with each other, no window with other values counts.
+
+An item is found in a document when alignments without conflict cover at least COVER percent
+of its tokens, when all windows that count cover more than that, or when RUN tokens in a row
+are equal: `verbatim` when all slot values of an alignment agree, else a re-parameterised
+question.
 
 Before the join, documents' windows pass a bitmap of the benchmark's (BITS bits, whatever
 the size of either table); it only lets through too much, never too little.
@@ -24,12 +33,12 @@ import re
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftwise.llm.batches import Cache, rolled, small_batches, stored
 
-WINDOW, COVER = 6, 50
+WINDOW, COVER, RUN = 6, 50, 13
 BITS = 1 << 23
 
 ENDS, NAME, UNIT, NUMBER = 1, 2, 4, 8
@@ -110,14 +119,19 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list
     return shape, word, slot > 0, [raw[i] for i in kept] if slot.any() else []
 
 
-def windows(shape, word, slot, width: int) -> np.ndarray:
-    """One hash per start of a window of `width` tokens."""
-    hashes = rolled(shape, width)
+def windows(shape, word, slot, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """One hash per start of a window of `width` tokens, then the starts of windows whose
+    hash by words alone is another one, and these hashes after the first ones."""
+    hashes, words = rolled(shape, width), rolled(word, width)
     slots = np.concatenate([[0], np.cumsum(slot)])
     many = 2 * (slots[width:] - slots[:-width]) > width if len(hashes) else slots[:0] > 0
     if many.any():
-        hashes = np.where(many, rolled(word, width), hashes)
-    return hashes
+        hashes = np.where(many, words, hashes)
+    other = np.flatnonzero(hashes != words)
+    return (
+        np.concatenate([hashes, words[other]]),
+        np.concatenate([np.arange(len(hashes)), other]),
+    )
 
 
 def _slots(slot: np.ndarray, raw: list[bytes], at: int, width: int) -> list[str]:
@@ -141,10 +155,11 @@ def item_windows(benchmark: DataFrame, text: str = "text") -> DataFrame:
         for t in texts:
             shape, word, slot, raw = template(t)
             width = min(WINDOW, len(shape))
-            found = windows(shape, word, slot, width) if width else []
+            found, starts = windows(shape, word, slot, width) if width else ([], [])
             rows.append((len(shape), [
-                {"pos": i, "hash": int(h.view(np.int64)), "slots": _slots(slot, raw, i, width)}
-                for i, h in enumerate(found)]))
+                {"pos": int(i), "hash": int(h.view(np.int64)),
+                 "slots": _slots(slot, raw, i, width) if k <= len(shape) - width else []}
+                for k, (h, i) in enumerate(zip(found, starts, strict=True))]))
         return pd.DataFrame(rows, columns=["size", "hits"])
 
     return (
@@ -181,11 +196,13 @@ def document_windows(docs: DataFrame, items: DataFrame, text: str = "text") -> D
             shape, word, slot, raw = template(t)
             hits = []
             for width in widths:
-                found = windows(shape, word, slot, width)
-                for i in np.flatnonzero(bits[(found & np.uint64(BITS - 1)).astype(np.int64)]):
+                found, starts = windows(shape, word, slot, width)
+                for k in np.flatnonzero(bits[(found & np.uint64(BITS - 1)).astype(np.int64)]):
+                    i = starts[k]
                     hits.append({"width": width, "pos": int(i),
-                                 "hash": int(found[i].view(np.int64)),
-                                 "slots": _slots(slot, raw, i, width)})
+                                 "hash": int(found[k].view(np.int64)),
+                                 "slots": _slots(slot, raw, i, width)
+                                 if k <= len(shape) - width else []})
             out.append(hits)
         return pd.Series(out)
 
@@ -202,33 +219,76 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) -> D
     hits = stored(document_windows(docs, items), "windows")
     joined = hits.join(items, ["hash", "width"])
     aligned = joined.groupBy("doc_id", "item_id", "size", (F.col("pos") - F.col("ipos")).alias("d"))
-    pairs = F.transform(
-        F.arrays_zip("islots", "slots"),
-        lambda s: F.struct(s["islots"].alias("of_item"), s["slots"].alias("of_doc")),
-    )
-    alignments = aligned.agg(
-        F.collect_set("ipos").alias("at"),
-        F.max("width").alias("width"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
-    )
-    one_to_one = (
-        F.size(F.array_distinct(F.transform("slots", lambda s: s["of_item"]))) == F.size("slots")
-    ) & (F.size(F.array_distinct(F.transform("slots", lambda s: s["of_doc"]))) == F.size("slots"))
-    tokens = F.flatten(
-        F.transform("at", lambda p: F.sequence(p, p + F.col("width") - F.lit(1)))
-    )
+    # Windows hashed by words on one side at least are equal: their values need no pairs.
+    pairs = F.when(
+        F.size("islots") == F.size("slots"),
+        F.transform(
+            F.arrays_zip("islots", "slots"),
+            lambda s: F.struct(s["islots"].alias("of_item"), s["slots"].alias("of_doc")),
+        ),
+    ).otherwise(F.expr("array()").cast("array<struct<of_item: string, of_doc: string>>"))
+    window = F.struct(F.col("ipos").alias("at"), pairs.alias("slots"))
+    changed = lambda s: s["of_item"] != s["of_doc"]
+    meets = lambda s, t: (s["of_item"] == t["of_item"]) != (s["of_doc"] == t["of_doc"])
+    alignments = (
+        aligned.agg(F.collect_set(window).alias("all"), F.max("width").alias("width"))
+        .withColumn("slots", F.array_distinct(F.flatten(F.transform("all", lambda w: w["slots"]))))
+        .withColumn("other", F.filter("slots", changed))
+        .withColumn("out", F.filter("other", lambda s: F.exists("slots", lambda t: meets(s, t))))
+        .withColumn(
+            "renamed", ~F.exists("other", lambda s: F.exists("other", lambda t: meets(s, t)))
+        )
+        .withColumn("equal", F.filter("all", lambda w: ~F.exists(w["slots"], changed)))
+        .withColumn(
+            "counted",
+            F.when(
+                F.col("renamed"),
+                F.filter("all", lambda w: F.size(F.array_intersect(w["slots"], F.col("out"))) == 0),
+            ).otherwise(F.col("equal")),
+        )
+    )
+
+    def covered(ws: str) -> Column:
+        return F.array_distinct(
+            F.flatten(
+                F.transform(ws, lambda w: F.sequence(w["at"], w["at"] + F.col("width") - F.lit(1)))
+            )
+        )
+
+    # A row of equal tokens starts where the token before is not equal.
+    run = F.size(
+        F.filter(
+            "same",
+            lambda p: F.size(
+                F.array_intersect("same", F.sequence(p, p + F.lit(RUN - 1)))
+            ) == RUN,
+        )
+    ) > 0
     found = (
-        alignments.where(one_to_one)
+        alignments.where(F.size("counted") > 0)
+        .select(
+            "doc_id", "item_id", "size", "slots", covered("counted").alias("tokens"),
+            covered("equal").alias("same"), (F.size("out") == 0).alias("whole"),
+        )
+        .withColumn("run", (F.size("same") >= RUN) & run)
         .groupBy("doc_id", "item_id", "size")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list(tokens)))).cast("long").alias(
+            F.size(F.array_distinct(F.flatten(F.collect_list("tokens")))).cast("long").alias(
                 "n_covered"
             ),
+            F.size(
+                F.array_distinct(F.flatten(F.collect_list(F.when(F.col("whole"), F.col("tokens")))))
+            ).alias("n_whole"),
+            F.max("run").alias("run"),
             F.max(F.size("slots")).cast("long").alias("n_slots"),
             F.max(F.forall("slots", lambda s: s["of_item"] == s["of_doc"])).alias("verbatim"),
         )
+    )
+    least = F.col("size") * cover
+    found = found.where(
+        (F.col("n_whole") * 100 >= least) | (F.col("n_covered") * 100 > least) | F.col("run")
     )
-    return found.where(F.col("n_covered") * 100 >= F.col("size") * cover).select(
+    return found.select(
         "doc_id", "item_id", "n_covered", F.col("size").cast("long").alias("n_tokens"), "n_slots",
         "verbatim",
     )

@@ -104,6 +104,29 @@ def test_decontamination_finds_copies_and_new_parameters(spark):
     assert decontaminate.contaminated(frame(spark, rows).limit(0), benchmark).count() == 0
 
 
+def test_decontamination_finds_changed_values_parts_and_lower_case(spark):
+    r = random.Random(15)
+    say = lambda n: " ".join("".join(r.choices("bcdfgklmnprst", k=7)) for _ in range(n))
+    dated = f"In 2019 {say(12)} until 2019 {say(8)} with Paris {say(4)} here."
+    long = say(250)
+    names = "Der Hund von Anna sah im Park die Katze von Otto und lief mit Emma nach Hause."
+    benchmark = spark.createDataFrame([(1, dated), (2, long), (3, names)], "item_id long, text string")
+    words = long.split()
+    rows = [
+        (10, f"{say(9)} {dated.replace('until 2019', 'until 2020')}", "x"),
+        (11, dated.replace("until 2019", "until 2020").replace("Paris", "Rome"), "x"),
+        (20, f"{say(5)} {' '.join(words[70:170])} {say(5)}", "x"),
+        (21, f"{say(5)} {' '.join(words[70:83])} {say(5)}", "x"),
+        (22, f"{say(5)} {' '.join(words[70:82])} {say(5)}", "x"),
+        (30, names.lower(), "x"), (31, say(60), "x"),
+    ]
+    got = decontaminate.contaminated(frame(spark, rows), benchmark).collect()
+    found = {(g["doc_id"], g["item_id"]): (g["n_covered"], g["verbatim"]) for g in got}
+    assert sorted(found) == [(10, 1), (11, 1), (20, 2), (21, 2), (30, 3)]
+    assert found[20, 2] == (100, True) and found[21, 2] == (13, True) and found[30, 3] == (17, True)
+    assert not found[10, 1][1] and not found[11, 1][1]
+
+
 def test_scores(spark, monkeypatch):
     for name in ("HEAD_SHARE", "PAIR_SHARE", "CONTEXT_SHARE"):
         monkeypatch.setattr(suffix_tree, name, 0.004)
