@@ -6,7 +6,13 @@ version numbers only, copyright notices' names left out) and compared with templ
 2 * common / (bigrams of both). At least DICE is only possible when the smaller of two bigram
 sets has at least DICE / (2 - DICE) times the size of the larger: templates are kept sorted
 by size and only those within the bounds are compared, and a unit that shares no bigram with
-any template is not compared at all.
+with any template is not compared at all.
+
+Besides, a text's words are searched for windows where a template's bigrams cluster, whatever
+lines and blocks they span. A template is only looked for when the text holds enough of its
+distinct bigrams. A window starts and ends with a run of them: more of a run never lowers
+Dice. Windows that overlap are settled by most bigrams in common, then by Dice, so a notice
+inside a header is the header's.
 
 One row per input row; null or empty text matches nothing. Ties go to the first name. Other
 columns stay; result columns replace input columns of the same name.
@@ -16,6 +22,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -80,6 +87,12 @@ def bigrams(text: str) -> set[tuple[str, str]]:
     return set(zip(found, found[1:], strict=False)) or {(w, "") for w in found}
 
 
+def word_bigrams(text: str) -> list[tuple[str, str]]:
+    """Word bigrams of a normalised text in their order."""
+    found = WORD.findall(COPYRIGHT.sub(" ", text).lower())
+    return list(zip(found, found[1:], strict=False))
+
+
 def units(text: str) -> list[str]:
     lines = [line for line in text.split("\n") if line.strip()]
     blocks = [b for b in re.split(r"\n[^\S\n]*\n", text) if "\n" in b.strip()]
@@ -95,6 +108,10 @@ class Scanner:
         self.sizes = [g[0] for g in grams]
         self.grams = [(name, b) for _, name, b in grams]
         self.known = frozenset().union(*(b for _, b in self.grams)) if grams else frozenset()
+        self.holders: dict[tuple[str, str], list[int]] = {}
+        for i, (_, b) in enumerate(self.grams):
+            for g in b:
+                self.holders.setdefault(g, []).append(i)
 
     def best(self, unit: str) -> tuple[float, str] | None:
         """(dice, name) of the best template that reaches the threshold."""
@@ -107,6 +124,50 @@ class Scanner:
         top = max(s for s, _ in scored)
         return (top, min(name for s, name in scored if s == top)) if top >= self.least else None
 
+    def windows(self, text: str) -> list[tuple[str, float]]:
+        """(name, dice) of the windows that reach the threshold and overlap no better one."""
+        order = word_bigrams(text)
+        counts = Counter(i for g in self.known.intersection(order) for i in self.holders[g])
+        ratio = self.least / (2 - self.least)
+        found = []
+        for i, c in counts.items():
+            name, own = self.grams[i]
+            if c >= ratio * len(own) - 1e-9:
+                found += [(-n, -dice, name, a, b) for n, dice, a, b in self._windows(order, own)]
+        out, taken = [], []
+        for _, dice, name, a, b in sorted(found):
+            if all(b <= x or y <= a for x, y in taken):
+                taken.append((a, b))
+                out.append((name, -dice))
+        return out
+
+    def _windows(self, order: list, own: frozenset) -> list[tuple[int, float, int, int]]:
+        """(common, dice, start, end) of the best window from each run of a template's bigrams."""
+        runs: list[list[int]] = []
+        for k, g in enumerate(order):
+            if g in own:
+                if runs and runs[-1][1] == k:
+                    runs[-1][1] = k + 1
+                else:
+                    runs.append([k, k + 1])
+        longest, out = len(own) * (2 - self.least) / self.least + 1e-9, []
+        for i, (start, _) in enumerate(runs):
+            seen: set = set()
+            common, at, best = 0, start, None
+            for a, b in runs[i:]:
+                seen.update(order[at:a])
+                fresh = set(order[a:b]) - seen
+                seen |= fresh
+                common, at = common + len(fresh), b
+                if len(seen) > longest:
+                    break
+                dice = 2 * common / (len(seen) + len(own))
+                if dice >= self.least and (best is None or dice > best[1]):
+                    best = (common, dice, start, b)
+            if best:
+                out.append(best)
+        return out
+
     def scan(self, text: str | None) -> dict[str, float]:
         """Each licence found, with its best coefficient."""
         found: dict[str, float] = {}
@@ -114,6 +175,8 @@ class Scanner:
             match = self.best(unit)
             if match and match[0] > found.get(match[1], 0):
                 found[match[1]] = match[0]
+        for name, dice in self.windows(text) if text else []:
+            found[name] = max(dice, found.get(name, 0))
         return found
 
 

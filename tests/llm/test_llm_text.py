@@ -215,3 +215,23 @@ def test_licences_prune_but_lose_nothing():
             )
         assert scanner.scan("Before.\n\n" + text + "\n\nAfter it.").get(name) == 1.0
     assert scanner.scan(None) == scanner.scan("") == scanner.scan("plain words only") == {}
+
+
+def test_licences_in_paragraphs_and_longer_lines():
+    r = random.Random(16)
+    scanner = licences.Scanner(licences.TEMPLATES, licences.DICE)
+    say = lambda n: " ".join("".join(r.choices("bcdfgklmnprst", k=6)) for _ in range(n))
+    for name, text in licences.TEMPLATES.items():
+        words = text.split()
+        for parts in (2, 3, 5):
+            cuts = [len(words) * k // parts for k in range(parts + 1)]
+            blocks = [" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:])]
+            page = "\n\n".join([say(90), say(200), *blocks, say(300)])
+            assert scanner.scan(page).get(name) == 1.0
+    mit = "Permission is hereby granted" + licences.TEMPLATES["MIT"][len("Permission is hereby granted") :]
+    changed = mit.replace("free of charge, ", "").replace("THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    assert 0.9 < scanner.scan(f"{say(50)}\n\n{changed}\n\n{say(50)}")["MIT"] < 1.0
+    assert "MIT notice" in scanner.scan(f"{say(20)} This code is released under the MIT License {say(20)}")
+    assert "MIT notice" in scanner.scan("Licensed under the MIT License.")
+    assert list(scanner.scan("Licensed under CC BY-NC 4.0.")) == ["CC-BY-NC-4.0 notice"]
+    assert scanner.scan(f"{say(9)} under the rule of the house the law is granted to any person {say(9)}") == {}
