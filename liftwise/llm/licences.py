@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise.llm.batches import small_batches
+from liftwise.llm.licence_texts import TEXTS
 
 DICE = 0.8
+NOTICE = 160  # characters of a copyright line
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 COPYRIGHT = re.compile(r"^[^\w©(]*(?:copyright\s+(?:\(c\)|©|\d{4})|\(c\)\s|©).*$", re.I | re.M)
 
@@ -78,8 +80,71 @@ program is distributed in the hope that it will be useful, but WITHOUT ANY WARRA
 even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
 General Public License for more details. You should have received a copy of the GNU General
 Public License along with this program. If not, see <https://www.gnu.org/licenses/>.""",
+    "LGPL-3.0-or-later header": """This program is free software: you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public License as published by the Free
+Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
+the GNU Lesser General Public License for more details. You should have received a copy of the
+GNU Lesser General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>.""",
+    "LGPL-2.1-or-later header": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public License as published by the Free
+Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
+the GNU Lesser General Public License for more details. You should have received a copy of the
+GNU Lesser General Public License along with this library; if not, write to the Free Software
+Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA""",
+    "AGPL-3.0-or-later header": """This program is free software: you can redistribute it and/or
+modify it under the terms of the GNU Affero General Public License as published by the Free
+Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
+the GNU Affero General Public License for more details. You should have received a copy of the
+GNU Affero General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>.""",
+    "GPL-2.0-or-later header": """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License as published by the Free Software
+Foundation; either version 2 of the License, or (at your option) any later version. This program
+is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General
+Public License for more details. You should have received a copy of the GNU General Public
+License along with this program; if not, write to the Free Software Foundation, Inc., 51
+Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.""",
+    "MPL-2.0 header": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+https://mozilla.org/MPL/2.0/.""",
+    "EPL-2.0 header": """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/""",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1 notice": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 notice": "Licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 notice": "Licensed under the GNU Affero General Public License, version 3.",
+    "MPL-2.0 notice": "Licensed under the Mozilla Public License, version 2.0.",
+    "EPL-2.0 notice": "Licensed under the Eclipse Public License, version 2.0.",
+    "BSD-2-Clause notice": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause notice": "Licensed under the BSD 3-Clause License.",
+    "ISC notice": "Released under the ISC License.",
+    "Unlicense notice": "Released into the public domain under the Unlicense.",
 }
 
+# Creative Commons notices and sentences of all kinds and both versions in use.
+_KINDS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+          "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+          "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+for _kind, _long in _KINDS.items():
+    for _version, _where in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES.setdefault(
+            f"CC-{_kind}-{_version} notice", f"Licensed under CC {_kind} {_version}."
+        )
+        TEMPLATES.setdefault(
+            f"CC-{_kind}-{_version} sentence",
+            f"This work is licensed under a Creative Commons {_long} {_version} {_where} License.",
+        )
+TEMPLATES |= {f"{_name} text": _text for _name, _text in TEXTS.items()}
+
 
 def bigrams(text: str) -> set[tuple[str, str]]:
     """Word bigrams of a normalised text; a single word is a bigram with nothing."""
@@ -88,8 +153,10 @@ def bigrams(text: str) -> set[tuple[str, str]]:
 
 
 def word_bigrams(text: str) -> list[tuple[str, str]]:
-    """Word bigrams of a normalised text in their order."""
-    found = WORD.findall(COPYRIGHT.sub(" ", text).lower())
+    """Word bigrams of a normalised text in their order. A line longer than any notice may go
+    on with the licence itself, so it stays."""
+    kept = COPYRIGHT.sub(lambda m: " " if len(m[0]) <= NOTICE else m[0], text)
+    found = WORD.findall(kept.lower())
     return list(zip(found, found[1:], strict=False))
 
 

@@ -227,7 +227,7 @@ def test_licences_in_paragraphs_and_longer_lines():
             cuts = [len(words) * k // parts for k in range(parts + 1)]
             blocks = [" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:])]
             page = "\n\n".join([say(90), say(200), *blocks, say(300)])
-            assert scanner.scan(page).get(name) == 1.0
+            assert scanner.scan(page).get(name, 0) > 0.95  # copyright lines move
     mit = "Permission is hereby granted" + licences.TEMPLATES["MIT"][len("Permission is hereby granted") :]
     changed = mit.replace("free of charge, ", "").replace("THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
     assert 0.9 < scanner.scan(f"{say(50)}\n\n{changed}\n\n{say(50)}")["MIT"] < 1.0
@@ -235,3 +235,20 @@ def test_licences_in_paragraphs_and_longer_lines():
     assert "MIT notice" in scanner.scan("Licensed under the MIT License.")
     assert list(scanner.scan("Licensed under CC BY-NC 4.0.")) == ["CC-BY-NC-4.0 notice"]
     assert scanner.scan(f"{say(9)} under the rule of the house the law is granted to any person {say(9)}") == {}
+
+
+def test_licences_in_common_use_are_known():
+    scanner = licences.Scanner(licences.TEMPLATES, licences.DICE)
+    for said, name in (
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0 notice"),
+        ("licensed under CC BY-NC-ND 3.0", "CC-BY-NC-ND-3.0 notice"),
+        ("This code is licensed under the BSD 3-Clause license, see there.", "BSD-3-Clause notice"),
+        ("Files are licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0 notice"),
+        ("You may use it: licensed under the Mozilla Public License, version 2.0.", "MPL-2.0 notice"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0 notice"),
+    ):
+        assert list(scanner.scan(f"Some words before it. {said} And some after it.")) == [name]
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "Unlicense"):
+        text = licences.TEMPLATES[f"{name} text"]
+        found = scanner.scan(f"A manual.\n\nCopyright (c) 2020 Somebody\n\n{text}\n\nIts end.")
+        assert max(found, key=found.get) == f"{name} text"
