@@ -1,20 +1,19 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
 import pytest
-from parity import database, difference
+from parity import SMALLEST, database, difference
 
 import __spark_entry__ as entry
-from conftest import TABLES
 
 
 @pytest.fixture(scope="module")
 def base():
-    return database(TABLES)
+    return database(SMALLEST)
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, base, name):
-    assert difference(spark, base, name, TABLES) is None
+    assert difference(spark, base, name, SMALLEST) is None
 
 
 def test_twins_name_queries():

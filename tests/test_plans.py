@@ -3,13 +3,13 @@
 import re
 
 import pytest
+from parity import SMALLEST
 from pyspark.sql import functions as F
 
 from liftwise.operators import evaluate as ev
 from liftwise.operators import features as feat
 from liftwise.operators import rank, split
 from liftwise.sources import star_schema as star
-from conftest import TABLES
 
 
 def plan(df):
@@ -18,9 +18,9 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def feature_plan(spark):
-    lines = star.purchases(spark, TABLES)
+    lines = star.purchases(spark, SMALLEST)
     cutoff = feat.cutoff_value(lines)
-    return plan(feat.client_features(star.clients(spark, TABLES), lines, cutoff))
+    return plan(feat.client_features(star.clients(spark, SMALLEST), lines, cutoff))
 
 
 def test_features_never_shuffle_lines_by_client_alone(feature_plan):
@@ -58,7 +58,7 @@ def test_ranks_add_no_exchange_for_the_join(spark):
 
 
 def test_split_does_not_shuffle_the_rows(spark):
-    df = star.labels(spark, TABLES).select("client_id", F.col("target").alias("y"))
+    df = star.labels(spark, SMALLEST).select("client_id", F.col("target").alias("y"))
     wide = df.withColumn("wide", F.lit("x" * 100)).cache()
     shape = plan(split.stratified_split(wide, "client_id", ["y"]))
     assert "BroadcastHashJoin" in shape
