@@ -12,16 +12,19 @@ from liftwise.llm import (
     bpe,
     decontaminate,
     html_blocks,
+    importance,
     licences,
     line_dedup,
     ngram_join,
+    prefix_trie,
     quality,
     suffix_tree,
     token_counts,
+    warc,
     wavelet,
 )
 from liftwise.llm.batches import table
-from liftwise.session import tune
+from liftwise.session import scratch, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +118,26 @@ def _(spark, folder):
 def _(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licences.scan_licences(docs).drop("text")
+
+
+@query("op11_warc_revisits", warc.ORACLE)
+def _(spark, folder):
+    path = scratch(spark, "archives")
+    warc.write_archives(warc.page_records(table(spark, folder, "pages")), path)
+    return warc.read_archives(spark, path, payload=False).select(
+        F.col("source_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to_source").cast("long").alias("refers_to"),
+    )
+
+
+@query("op12_importance_resampling", importance.ORACLE)
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = importance.resampled(docs, table(spark, folder, "benchmark").select("text"))
+    return found.drop("n_words")
+
+
+@query("op13_prefix_trie")
+def _(spark, folder):
+    turns = prefix_trie.turn_ids(table(spark, folder, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns))
