@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +74,23 @@ def materialize(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, as --py-files would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for p in sorted(root.rglob("*.py")):
+            out.write(p, p.relative_to(root.parent))
+    # Code, not data: Spark copies the file to the executors.
+    path = Path(tempfile.mkdtemp(prefix="package-")).resolve() / f"{root.name}.zip"
+    path.write_bytes(packed.getvalue())
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
