@@ -32,13 +32,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from liftwise.llm.batches import Cache, bounded, small_batches, words
+from liftwise.llm.batches import bounded, small_batches, words
+from liftwise.llm.bpe import byte_letters
 from liftwise.session import scratch
 
 END = 1
 SHARD_TOKENS = 1 << 20
 MAGIC = b"WVM1"
 SAMPLE = 64  # words of 64 bits between two rank samples
+# Words of a generation that a worker keeps, and the longest one kept, in bytes.
+KEPT_WORDS = 500_000
+KEPT_LENGTH = 64
+MARKS = b".,!?;:"
 
 
 class Plane:
@@ -183,9 +188,13 @@ def read_shard(body: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray
 
 class WordCodec:
     """The library's encoding, kept per word. No rule of a tokenizer that drops white space
-    reaches across it, so a text's ids are its words' ids in a row."""
+    reaches across it, so a text's ids are its words' ids in a row.
 
-    def __init__(self, spec: str):
+    Words are kept in two generations: when the young one is full it becomes the old one, and
+    what of the old one is still in use has moved on by then. So frequent words stay, rare ones
+    go, and no batch starts from nothing."""
+
+    def __init__(self, spec: str, entries: int = KEPT_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -193,47 +202,67 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kept = Cache(self._word, 600_000)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.entries = entries
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def __reduce__(self):
-        return (WordCodec, (self.spec,))
-
-    @staticmethod
-    def parts(word: bytes) -> tuple[bytes, ...]:
-        """Pieces that the tokenizer splits a word into anyway, in lower case: letters of
-        Latin-1 and one mark after them. Any other word is one piece, as it is."""
-        text = word.decode("utf-8")
-        if max(text) < "\u0100":
-            if text.isalpha():
-                return (text.lower().encode(),)
-            if text[-1] in ".,!?;:" and text[:-1].isalpha():
-                return text[:-1].lower().encode(), text[-1].encode()
-        return (word,)
-
-    def learn(self, found: list[list[bytes]]) -> None:
-        """Encode the words of a batch that are not kept yet, in one call."""
-        fresh = set().union(*found).difference(self.kept)
-        if len(self.kept) + len(fresh) > self.kept.entries:
-            self.kept.clear()
-        split = {w: self.parts(w) for w in fresh}
-        missing = list({p for parts in split.values() for p in parts} - self.kept.keys())
-        codes = self.tokenizer.encode_batch_fast(
-            [p.decode("utf-8") for p in missing], add_special_tokens=False
-        )
-        self.kept.update((p, array("I", c.ids).tobytes()) for p, c in zip(missing, codes, strict=True))
-        for w, parts in split.items():
-            if parts != (w,):
-                self.kept[w] = b"".join(self.kept[p] for p in parts)
-
-    def _word(self, word: bytes) -> bytes:
-        self.learn([[word]])
-        return self.kept[word]
-
-    def encode_words(self, found: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.kept.__getitem__, found)), "<u4")
+        return (WordCodec, (self.spec, self.entries))
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of a run of lower-case Latin-1 letters, or of one mark. Nothing of the normalizer
+        or the splitting rules changes it, so the merges alone are asked."""
+        code = self.young.get(piece)
+        if code is None:
+            code = self.old.get(piece)
+            if code is None:
+                letters = piece.decode("latin-1").translate(self.letters)
+                code = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(piece) <= KEPT_LENGTH:
+                self.young[piece] = code
+        return code
+
+    def codes(self, found: list[list[bytes]]) -> dict[bytes, bytes]:
+        """The ids of all words of a batch. Letters of Latin-1 and one mark after them are
+        pieces that the tokenizer splits a word into anyway, in lower case; any other word is
+        encoded as it is, in one call for the batch unless it is kept."""
+        if len(self.young) >= self.entries:
+            self.old, self.young = self.young, {}
+        codes: dict[bytes, bytes] = {}
+        odd, piece = [], self._piece
+        for w in set().union(*found):
+            head, mark = (w[:-1], w[-1:]) if w[-1] in MARKS else (w, b"")
+            if not head.isalpha():
+                text = head.decode("utf-8")
+                if not text.isalpha() or max(text) > "\xff":
+                    code = self.young.get(w) or self.old.get(w)
+                    if code is None:
+                        odd.append(w)
+                    else:
+                        codes[w] = self.young[w] = code
+                    continue
+                low = text.lower().encode()
+            else:
+                low = head.lower()
+            codes[w] = piece(low) + piece(mark) if mark else piece(low)
+        if odd:
+            encoded = self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8") for w in odd], add_special_tokens=False
+            )
+            for w, c in zip(odd, encoded, strict=True):
+                codes[w] = code = array("I", c.ids).tobytes()
+                if code and len(w) <= KEPT_LENGTH:
+                    self.young[w] = code
+        return codes
 
     def encode(self, text: str | None) -> np.ndarray:
-        return self.encode_words(words(text))
+        found = words(text)
+        return ids_of(found, self.codes([found]))
+
+
+def ids_of(found: list[bytes], codes: dict[bytes, bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(codes.__getitem__, found)), "<u4")
 
 
 SHARDS = "part int, shard int, n_tokens long, n_docs long, body binary"
@@ -262,9 +291,9 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, tokens: int = SHARD
 
         for batch in batches:
             texts = [words(t) for t in batch.column(1).to_pylist()]
-            codec.value.learn(texts)
+            codes = codec.value.codes(texts)
             for name, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                found = codec.value.encode_words(text)
+                found = ids_of(text, codes)
                 ids += [found, end]
                 names.append(name)
                 lengths.append(len(found) + 1)
@@ -277,7 +306,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, tokens: int = SHARD
 
     ordered = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "text")
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     )
     ordered.mapInArrow(cut, SHARDS).write.parquet(path)
