@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import tempfile
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -17,8 +18,10 @@ from liftwise.session import scratch
 # Rows of an Arrow batch: long texts, so far fewer than Spark's default of 10,000.
 BATCH_ROWS = 256
 BATCH_BYTES = 32 << 20
-# Entries a worker keeps of any cache; a full cache is emptied, results never change.
+# Entries a worker keeps of any cache; a full cache is emptied, results never change. Keys
+# longer than KEY_LENGTH (a text without white space is one word) are not kept.
 CACHE_ENTRIES = 400_000
+KEY_LENGTH = 64
 
 SPACES = " \t\n\x0b\x0c\r"
 # White space as Unicode's White_Space property has it (fixed values).
@@ -51,17 +54,31 @@ def _package() -> str:
     return str(path)
 
 
+_caches: list[weakref.ref] = []
+
+
+def release(*keep: Cache) -> None:
+    """Empty all caches of this worker but these: workers outlive a query, and what an operator
+    before has left here would only take memory from the next."""
+    for cache in [ref() for ref in _caches]:
+        if cache and not any(cache is k for k in keep):
+            cache.clear()
+
+
 class Cache(dict):
     """key -> make(key), emptied when full."""
 
     def __init__(self, make, entries: int = CACHE_ENTRIES):
         super().__init__()
         self.make, self.entries = make, entries
+        _caches[:] = [ref for ref in _caches if ref() is not None] + [weakref.ref(self)]
 
     def __missing__(self, key):
-        if len(self) >= self.entries:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if isinstance(key, int) or len(key) <= KEY_LENGTH:
+            if len(self) >= self.entries:
+                self.clear()
+            self[key] = value
         return value
 
     def __reduce__(self):  # a copy on another machine starts empty

@@ -35,11 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftwise.llm.batches import CACHE_ENTRIES, CHUNK, RAGGED, WHITE, Cache, small_batches
+from liftwise.llm.batches import CHUNK, RAGGED, WHITE, Cache, release, small_batches
 
 NEVER = 1 << 60
 # Longer pieces are read from the left, without recursion and without keeping prefixes.
 LONG = 200
+# What a worker keeps: arcs asked for, paths of pieces and their prefixes, words.
+ARCS, PATHS, WORDS = 500_000, 400_000, 300_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -82,7 +84,7 @@ class MergeAutomaton:
         self._ready()
 
     def _ready(self) -> None:
-        self.arcs = Cache(self._arc, 2_000_000)
+        self.arcs = Cache(self._arc, ARCS)
         self.paths: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
@@ -128,7 +130,7 @@ class MergeAutomaton:
         raise ValueError("a byte without a token")
 
     def _keep(self, piece: str, path: tuple[int, ...]) -> tuple[int, ...]:
-        if len(self.paths) >= CACHE_ENTRIES:
+        if len(self.paths) >= PATHS:
             self.paths.clear()
         self.paths[piece] = path
         return path
@@ -178,8 +180,8 @@ class ByteCodec:
         for token, i in self.special.items():
             self.labels[i] = token.encode()
         self.names = list(map(str, range(size)))
-        self.chunks = Cache(self.chunk)
-        self.spaced = Cache(self.after_space)
+        self.chunks = Cache(self.chunk, WORDS)
+        self.spaced = Cache(self.after_space, WORDS)
 
     def _split(self, chunk: str) -> list[str]:
         """The pieces of a chunk, in the vocabulary's letters."""
@@ -271,7 +273,9 @@ def _mapped(docs: DataFrame, path: str, text: str, schema: str, work) -> DataFra
 
     @F.pandas_udf(schema)
     def run(texts: pd.Series) -> pd.DataFrame:
-        return work(shared.value, texts)
+        codec = shared.value
+        release(codec.automaton.arcs, codec.chunks, codec.spaced)
+        return work(codec, texts)
 
     names = [f.split()[0] for f in schema.split(", ")]
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in names]

@@ -252,3 +252,31 @@ def test_licences_in_common_use_are_known():
         text = licences.TEMPLATES[f"{name} text"]
         found = scanner.scan(f"A manual.\n\nCopyright (c) 2020 Somebody\n\n{text}\n\nIts end.")
         assert max(found, key=found.get) == f"{name} text"
+
+
+@pytest.mark.parametrize("entries", [3, 200, 100_000])
+def test_words_equal_the_library_while_generations_change(entries):
+    with open(WORDS, encoding="utf-8") as f:
+        codec = wavelet.WordCodec(f.read(), entries)
+    library = Tokenizer.from_file(WORDS)
+    library.no_truncation()
+    library.no_padding()
+    more = ["Ünïcode, ÀÉÎ! º ª µ ß; naïve: ?", "a. .a ... . b,, Don't 'S x's", "ΑΒΓ İi dž é́ ﬁ", "ÿÞ×÷ 12a a12 ½"]
+    texts = random_texts(600) + more * 3 + [chr(c) + " x" + chr(c) + "y" for c in range(1, 0x250)]
+    for at in range(0, len(texts), 40):
+        batch = [wavelet.words(t) for t in texts[at : at + 40]]
+        codes = codec.codes(batch)
+        for text, found in zip(texts[at : at + 40], batch, strict=True):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert wavelet.ids_of(found, codes).tolist() == want, text
+
+
+def test_caches_keep_no_long_keys_and_are_released():
+    from liftwise.llm import batches
+
+    kept, other = batches.Cache(len, 3), batches.Cache(str)
+    assert kept["x" * 10_000_000] == 10_000_000 and not kept
+    assert [kept[k] for k in ("a", "bb", "ccc", "dddd")] == [1, 2, 3, 4] and len(kept) == 1
+    assert other[7] == "7"
+    batches.release(kept)
+    assert len(kept) == 1 and not other
