@@ -1,9 +1,11 @@
 """Global ranks and running totals without ever sorting a whole table in one task.
 
 Rows are range-partitioned into ordered slices and fixed with a checkpoint, since
-range bounds come from a sample and may differ between runs. Each slice is then
-ranked in a partition of its own and shifted by the totals of the slices before it:
-a table of one row per slice and group, which is counted before it is broadcast.
+range bounds come from a sample and may differ between runs. Ranks take one exchange:
+slices are sorted before they are fixed, so a row's place in its slice is its rank but
+for where its group begins and what earlier slices hold. Running totals need a window
+per slice, and with it a second exchange. Slices are shifted by the totals of those
+before them: one row per slice and group, which is counted before it is broadcast.
 """
 
 from __future__ import annotations
@@ -33,11 +35,13 @@ def ranked(
     `total_<name>`.
 
     `order` must be a total order and `by` free of nulls. Groups may be of any size.
-    Pass only the columns needed: rows are shuffled twice, evenly both times.
+    Pass only the columns needed: rows are shuffled once, with sums twice, evenly each time.
     """
     by = list(by)
     columns = df.columns
     sums = dict(sums) if isinstance(sums, Mapping) else {c: F.col(c) for c in sums}
+    if not sums:
+        return _numbered(df, order, by)
     slices = materialize(
         df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn(
             SLICE, F.spark_partition_id()
@@ -82,6 +86,42 @@ def ranked(
     )
 
 
+# monotonically_increasing_id(): the partition above, the row's place in it below (fixed value).
+PLACE_BITS = 33
+
+
+def _numbered(df: DataFrame, order: Sequence[Column], by: list[str]) -> DataFrame:
+    """`ranked` without sums: places in sorted partitions, shifted."""
+    columns = df.columns
+    keys = [*[F.col(c) for c in by], *order]
+    slices = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    at = F.monotonically_increasing_id()
+    placed = slices.select(*columns, at.alias("_at")).select(
+        *columns,
+        F.shiftright("_at", PLACE_BITS).alias(SLICE),
+        F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("_place"),
+    )
+    totals = placed.groupBy(*by, SLICE).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_start")
+    )
+    group = Window.partitionBy(*by)
+    before = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(
+        totals.select(
+            *by,
+            SLICE,
+            (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_start") + 1).alias("_shift"),
+            F.sum("_rows").over(group).alias("group_size"),
+        )
+    )
+    # The few offsets may be broadcast, the ranked rows never.
+    few = offsets.count() <= BROADCAST_ROWS
+    shifts = F.broadcast(offsets) if few else offsets.hint("merge")
+    return placed.join(shifts, [*by, SLICE]).select(
+        *columns, (F.col("_place") + F.col("_shift")).alias("rank"), "group_size"
+    )
+
+
 def best_first(score: str, key: str) -> list[Column]:
     """Highest score first; the key settles ties."""
     return [F.col(score).desc_nulls_last(), F.col(key).asc()]
@@ -104,13 +144,61 @@ def row_index(df: DataFrame, key: str) -> DataFrame:
     return out.withColumn("idx", F.col("rank") - 1).drop("rank", "group_size")
 
 
+# Groups of so many rows altogether are simply ranked; a cut is searched in larger ones.
+RANK_ALL = 100_000
+# Part of a group on either side of the cut that is ranked to find it.
+MARGIN = 0.005
+
+
 def top_fraction(
     df: DataFrame, score: str, key: str, k: float, by: Sequence[str] = ()
 ) -> DataFrame:
     """The best max(floor(n*k), 1) rows of each group."""
-    wanted = F.greatest(F.floor(F.col("group_size") * F.lit(float(k))), F.lit(1))
-    out = running_totals(df, score, key, by=by)
-    return out.where(F.col("rank") <= wanted).drop("rank", "group_size")
+    groups = [*by] or ["_all"]
+    rows = df if by else df.withColumn("_all", F.lit(0))
+    cuts = _cuts(rows.select(*groups, score, key), score, key, k, groups)
+    value, cut, cut_key = F.col(score), F.col("_cut"), F.col("_cut_key")
+    at = (value == cut) & (F.col(key) <= cut_key)
+    among_nulls = value.isNotNull() | (F.col(key) <= cut_key)
+    best = F.when(cut.isNull(), among_nulls).otherwise(F.coalesce((value > cut) | at, F.lit(False)))
+    return rows.join(cuts, groups).where(best).select(*df.columns)
+
+
+def _cuts(rows: DataFrame, score: str, key: str, k: float, by: list[str]) -> DataFrame:
+    """The last chosen row of each group (`_cut`, `_cut_key`), ready to join.
+
+    A sketch of each group gives two scores around its cut. Rows above both are counted, rows
+    between them ranked; a group whose cut is not between them (nulls, or few rows) is ranked
+    whole. So the cut is exact whatever the sketch says, with any number of equal scores.
+    """
+    share = F.array(F.lit(max(0.0, 1 - k - MARGIN)), F.lit(min(1.0, 1 - k + MARGIN)))
+    wanted = F.greatest(F.floor(F.count(F.lit(1)) * F.lit(float(k))), F.lit(1))
+    around = F.percentile_approx(score, share, F.lit(10_000))
+    bands = materialize(
+        rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), wanted.alias("_wanted"), around.alias("_q"))
+    )
+    groups, total = bands.agg(F.count(F.lit(1)), F.sum("_n")).first()
+
+    def last_of(part: DataFrame, skipped: Column) -> DataFrame:
+        return part.where(F.col("rank") + skipped == F.col("_wanted")).select(
+            *by, F.col(score).alias("_cut"), F.col(key).alias("_cut_key")
+        )
+
+    def whole(of: DataFrame) -> DataFrame:
+        part = rows.join(small(of.select(*by, "_wanted"), groups), by)
+        return last_of(ranked(part, best_first(score, key), by), F.lit(0))
+
+    if (total or 0) <= RANK_ALL:
+        return small(materialize(whole(bands)), groups)
+    near = rows.join(small(bands, groups), by)
+    low, high = F.col("_q")[0], F.col("_q")[1]
+    above = near.groupBy(*by).agg(F.count_if(F.col(score) > high).alias("_above"))
+    band = near.where(F.col(score).between(low, high)).select(*by, score, key, "_wanted")
+    inside = ranked(band, best_first(score, key), by).join(small(above, groups), by)
+    cuts = materialize(last_of(inside, F.col("_above")))
+    if cuts.count() < groups:
+        cuts = materialize(cuts.union(whole(bands.join(cuts, by, "left_anti"))))
+    return small(cuts, groups)
 
 
 def sorted_by_score(df: DataFrame, score: str, key: str) -> DataFrame:

@@ -175,3 +175,45 @@ def test_strength_zero_is_the_baseline(people, name):
 def test_unknown_scenario(people):
     with pytest.raises(ValueError, match="no scenario"):
         make_scenario(people, "client_id", "nope", 10)
+
+
+def brute_top(rows, k):
+    """(group, key) of the best max(floor(n*k), 1) of each group; no score comes last."""
+    chosen = set()
+    for g in {r[0] for r in rows}:
+        inside = sorted((r for r in rows if r[0] == g), key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))
+        chosen |= {(g, r[1]) for r in inside[: max(int(len(inside) * k), 1)]}
+    return chosen
+
+
+@pytest.mark.parametrize("k", [0.0, 0.2, 0.5, 0.97, 1.0])
+@pytest.mark.parametrize("all_rows", [0, 10**6])
+def test_top_fraction_with_ties_and_nulls(spark, k, all_rows, many_slices, monkeypatch):
+    monkeypatch.setattr(rank, "RANK_ALL", all_rows)
+    rng = random.Random(11)
+    rows = [("even", i, rng.random()) for i in range(900)]
+    rows += [("tied", i, float(rng.randrange(3))) for i in range(700)] + [("one", 1, 5.0)]
+    rows += [("nulls", i, None if i % 3 else 1.0) for i in range(60)] + [("none", i, None) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, id int, s double").repartition(5)
+    got = rank.top_fraction(df.withColumn("more", F.lit(1)), "s", "id", k, by=["g"])
+    assert got.columns == ["g", "id", "s", "more"]
+    assert {(r["g"], r["id"]) for r in got.collect()} == brute_top(rows, k)
+    alone = rank.top_fraction(df.where("g = 'tied'"), "s", "id", k).collect()
+    assert {("tied", r["id"]) for r in alone} == brute_top([r for r in rows if r[0] == "tied"], k)
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_ranks_of_groups_take_no_exchange_after_the_sort(spark, few, many_slices, monkeypatch):
+    monkeypatch.setattr(rank, "BROADCAST_ROWS", few)
+    rng = random.Random(2)
+    rows = [(rng.choice("aabbbbbbc"), rng.randrange(9), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, s int, id int").repartition(7)
+    out = rank.ranked(df, [F.col("s").desc(), F.col("id").asc()], ["g"])
+    places = {}
+    for g in "abc":
+        inside = sorted((-s, i) for h, s, i in rows if h == g)
+        places |= {i: (n, len(inside)) for n, (_, i) in enumerate(inside, 1)}
+    assert {r["id"]: (r["rank"], r["group_size"]) for r in out.collect()} == places
+    if few:
+        shape = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in shape and "Exchange range" not in shape
