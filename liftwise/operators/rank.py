@@ -154,14 +154,44 @@ def top_fraction(
     df: DataFrame, score: str, key: str, k: float, by: Sequence[str] = ()
 ) -> DataFrame:
     """The best max(floor(n*k), 1) rows of each group."""
-    groups = [*by] or ["_all"]
-    rows = df if by else df.withColumn("_all", F.lit(0))
-    cuts = _cuts(rows.select(*groups, score, key), score, key, k, groups)
-    value, cut, cut_key = F.col(score), F.col("_cut"), F.col("_cut_key")
-    at = (value == cut) & (F.col(key) <= cut_key)
-    among_nulls = value.isNotNull() | (F.col(key) <= cut_key)
-    best = F.when(cut.isNull(), among_nulls).otherwise(F.coalesce((value > cut) | at, F.lit(False)))
-    return rows.join(cuts, groups).where(best).select(*df.columns)
+    if by:
+        cuts = _cuts(df.select(*by, score, key), score, key, k, [*by])
+        up_to_cut = _best(F.col(score), F.col(key), F.col("_cut"), F.col("_cut_key"))
+        return df.join(cuts, [*by]).where(up_to_cut).select(*df.columns)
+    last = _cut(df.select(score, key), score, key, k)
+    if last is None:
+        return df
+    cut, cut_key = (F.lit(last[c]).cast(df.schema[c].dataType) for c in (score, key))
+    return df.where(_best(F.col(score), F.col(key), cut, cut_key))
+
+
+def _best(score: Column, key: Column, cut: Column, cut_key: Column) -> Column:
+    """Whether a row is not after the last chosen one; rows without score come last."""
+    among_nulls = score.isNotNull() | (key <= cut_key)
+    scored = (score > cut) | ((score == cut) & (key <= cut_key))
+    return F.when(cut.isNull(), among_nulls).otherwise(F.coalesce(scored, F.lit(False)))
+
+
+def _around(score: str, k: float) -> Column:
+    """Two scores, by a sketch, that the cut should lie between."""
+    share = F.array(F.lit(max(0.0, 1 - k - MARGIN)), F.lit(min(1.0, 1 - k + MARGIN)))
+    return F.percentile_approx(score, share, F.lit(10_000))
+
+
+def _cut(rows: DataFrame, score: str, key: str, k: float) -> Row | None:
+    """`_cuts` of one group, as a row for the driver to compare with; None without rows."""
+    n, around = rows.agg(F.count(F.lit(1)), _around(score, k)).first()
+    if not n:
+        return None
+    wanted, order = max(math.floor(n * float(k)), 1), best_first(score, key)
+    if n > RANK_ALL and around:
+        low, high = around
+        skipped = rows.where(F.col(score) > high).count()
+        band = ranked(rows.where(F.col(score).between(low, high)), order)
+        found = band.where(F.col("rank") == wanted - skipped).first()
+        if found:
+            return found
+    return ranked(rows, order).where(F.col("rank") == wanted).first()
 
 
 def _cuts(rows: DataFrame, score: str, key: str, k: float, by: list[str]) -> DataFrame:
@@ -171,12 +201,9 @@ def _cuts(rows: DataFrame, score: str, key: str, k: float, by: list[str]) -> Dat
     between them ranked; a group whose cut is not between them (nulls, or few rows) is ranked
     whole. So the cut is exact whatever the sketch says, with any number of equal scores.
     """
-    share = F.array(F.lit(max(0.0, 1 - k - MARGIN)), F.lit(min(1.0, 1 - k + MARGIN)))
     wanted = F.greatest(F.floor(F.count(F.lit(1)) * F.lit(float(k))), F.lit(1))
-    around = F.percentile_approx(score, share, F.lit(10_000))
-    bands = materialize(
-        rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), wanted.alias("_wanted"), around.alias("_q"))
-    )
+    n = F.count(F.lit(1)).alias("_n")
+    bands = materialize(rows.groupBy(*by).agg(n, wanted.alias("_wanted"), _around(score, k).alias("_q")))
     groups, total = bands.agg(F.count(F.lit(1)), F.sum("_n")).first()
 
     def last_of(part: DataFrame, skipped: Column) -> DataFrame:

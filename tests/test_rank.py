@@ -198,8 +198,9 @@ def test_top_fraction_with_ties_and_nulls(spark, k, all_rows, many_slices, monke
     got = rank.top_fraction(df.withColumn("more", F.lit(1)), "s", "id", k, by=["g"])
     assert got.columns == ["g", "id", "s", "more"]
     assert {(r["g"], r["id"]) for r in got.collect()} == brute_top(rows, k)
-    alone = rank.top_fraction(df.where("g = 'tied'"), "s", "id", k).collect()
-    assert {("tied", r["id"]) for r in alone} == brute_top([r for r in rows if r[0] == "tied"], k)
+    for g in ("tied", "nulls", "none", "absent"):
+        alone = rank.top_fraction(df.where(F.col("g") == g), "s", "id", k)
+        assert {(g, r["id"]) for r in alone.collect()} == brute_top([r for r in rows if r[0] == g], k)
 
 
 @pytest.mark.parametrize("few", [0, 10_000])
