@@ -251,7 +251,7 @@ def drift_report(
             F.lit(SCORE).alias("learner"), key, F.col(SCORE).alias("score"), TREATMENT, OUTCOME
         )
         parts.append(
-            top_lift(scores, key, TOP_SHARE).select(
+            top_lift(scores, key, TOP_SHARE, by=()).select(
                 F.lit("top20_lift").alias("metric"),
                 F.lit(None).cast("string").alias("feature"),
                 F.col("top_lift").alias("value"),

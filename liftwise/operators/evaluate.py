@@ -255,9 +255,12 @@ def targeting_table(curve: DataFrame, ks: Sequence[int]) -> DataFrame:
     )
 
 
-def top_lift(scores: DataFrame, key: str, k: float = TOP_SHARE) -> DataFrame:
-    """Treated minus control outcome rate among the best share k; null if an arm is empty."""
-    top = top_fraction(scores, "score", key, k, by=["learner"])
+def top_lift(
+    scores: DataFrame, key: str, k: float = TOP_SHARE, by: Sequence[str] = ("learner",)
+) -> DataFrame:
+    """Treated minus control outcome rate among the best share k; null if an arm is empty.
+    Scores of a single learner need no `by`."""
+    top = top_fraction(scores, "score", key, k, by=by)
     rate = {a: F.avg(F.when(F.col(TREATMENT) == a, F.col(OUTCOME))) for a in (0, 1)}
     return top.groupBy("learner").agg((rate[1] - rate[0]).alias("top_lift"))
 
