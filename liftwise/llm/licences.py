@@ -11,7 +11,7 @@ with any template is not compared at all.
 Besides, a text's words are searched for windows where a template's bigrams cluster, whatever
 lines and blocks they span. A template is only looked for when the text holds enough of its
 distinct bigrams. A window starts and ends with a run of them: more of a run never lowers
-Dice. Windows that overlap are settled by most bigrams in common, then by Dice, so a notice
+Dice. Very long texts cost a template-sized look per run. Windows that overlap are settled by most bigrams in common, then by Dice, so a notice
 inside a header is the header's.
 
 One row per input row; null or empty text matches nothing. Ties go to the first name. Other
@@ -24,6 +24,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from liftwise.llm.licence_texts import TEXTS
 
 DICE = 0.8
 NOTICE = 160  # characters of a copyright line
+STARTS = 512  # positions whose windows are looked up together
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 COPYRIGHT = re.compile(r"^[^\w©(]*(?:copyright\s+(?:\(c\)|©|\d{4})|\(c\)\s|©).*$", re.I | re.M)
 
@@ -167,6 +169,15 @@ def units(text: str) -> list[str]:
     return lines + blocks + whole
 
 
+def _previous(ids: np.ndarray) -> np.ndarray:
+    """Where each value occurred last before its position, -1 for the first time."""
+    order = np.argsort(ids, kind="stable")
+    same = ids[order[1:]] == ids[order[:-1]]
+    before = np.full(len(ids), -1)
+    before[order[1:][same]] = order[:-1][same]
+    return before
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float):
         self.least = least
@@ -196,43 +207,67 @@ class Scanner:
         order = word_bigrams(text)
         counts = Counter(i for g in self.known.intersection(order) for i in self.holders[g])
         ratio = self.least / (2 - self.least)
+        likely = [i for i, c in counts.items() if c >= ratio * len(self.grams[i][1]) - 1e-9]
+        if not likely:
+            return []
+        number: dict[tuple[str, str], int] = {}
+        ids = np.array([number.setdefault(g, len(number)) for g in order])
+        before = _previous(ids)
         found = []
-        for i, c in counts.items():
+        for i in likely:
             name, own = self.grams[i]
-            if c >= ratio * len(own) - 1e-9:
-                found += [(-n, -dice, name, a, b) for n, dice, a, b in self._windows(order, own)]
-        out, taken = [], []
+            mine = np.zeros(len(number), bool)
+            mine[[number[g] for g in own if g in number]] = True
+            spans = self._windows(mine[ids], before, len(own))
+            found += [(-n, -dice, name, a, b) for n, dice, a, b in spans]
+        out: list[tuple[str, float]] = []
+        starts: list[int] = []  # of the windows taken, which are disjoint
+        ends: list[int] = []
         for _, dice, name, a, b in sorted(found):
-            if all(b <= x or y <= a for x, y in taken):
-                taken.append((a, b))
+            at = bisect_left(ends, a + 1)  # the first that ends after a
+            if at == len(starts) or b <= starts[at]:
+                starts.insert(at, a)
+                ends.insert(at, b)
                 out.append((name, -dice))
         return out
 
-    def _windows(self, order: list, own: frozenset) -> list[tuple[int, float, int, int]]:
-        """(common, dice, start, end) of the best window from each run of a template's bigrams."""
-        runs: list[list[int]] = []
-        for k, g in enumerate(order):
-            if g in own:
-                if runs and runs[-1][1] == k:
-                    runs[-1][1] = k + 1
-                else:
-                    runs.append([k, k + 1])
-        longest, out = len(own) * (2 - self.least) / self.least + 1e-9, []
-        for i, (start, _) in enumerate(runs):
-            seen: set = set()
-            common, at, best = 0, start, None
-            for a, b in runs[i:]:
-                seen.update(order[at:a])
-                fresh = set(order[a:b]) - seen
-                seen |= fresh
-                common, at = common + len(fresh), b
-                if len(seen) > longest:
-                    break
-                dice = 2 * common / (len(seen) + len(own))
-                if dice >= self.least and (best is None or dice > best[1]):
-                    best = (common, dice, start, b)
-            if best:
-                out.append(best)
+    def _windows(
+        self, inside: np.ndarray, before: np.ndarray, size: int
+    ) -> list[tuple[int, float, int, int]]:
+        """(common, dice, start, end) of the best window from each run of a template's bigrams.
+
+        `inside` marks the text's bigrams that are among the template's `size`, `before` holds
+        where each occurred last. A window's distinct bigrams are those whose last occurrence
+        lies before its start, and no more than `longest` can reach the threshold: a start looks
+        at that many positions however long the text or its repeats are.
+        """
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], inside.astype(np.int8), [0]))))
+        starts, ends = edges[::2], edges[1::2]
+        longest = int(size * (2 - self.least) / self.least + 1e-9)
+        fewest = self.least / (2 - self.least) * size - 1e-9
+        out = []
+        for block in range(0, len(inside), STARTS):
+            here = starts[np.searchsorted(starts, block) : np.searchsorted(starts, block + STARTS)]
+            if not len(here):
+                continue
+            # First occurrences for any start of the block; at most 2 * STARTS of them are not
+            # for a given one.
+            enough = longest + 1 + 2 * STARTS
+            new = block + np.flatnonzero(before[block:] < block + STARTS)[:enough]
+            last, own = before[new], inside[new]
+            for start in here.tolist():
+                fresh = (new >= start) & (last < start)
+                if np.count_nonzero(fresh & own) < fewest:
+                    continue
+                first = new[fresh][:longest]
+                common = first[inside[first]]
+                stops = ends[np.searchsorted(ends, common, "right")]
+                seen = np.searchsorted(new[fresh], stops)
+                shared = np.searchsorted(common, stops)
+                dice = np.where(seen <= longest, 2 * shared / (seen + size), 0)
+                best = int(dice.argmax())
+                if dice[best] >= self.least:
+                    out.append((int(shared[best]), float(dice[best]), start, int(stops[best])))
         return out
 
     def scan(self, text: str | None) -> dict[str, float]:

@@ -1,6 +1,7 @@
 """Operators on single texts, against the libraries and brute force."""
 
 import random
+import time
 import zlib
 from hashlib import sha256
 
@@ -254,6 +255,55 @@ def test_licences_in_common_use_are_known():
         assert max(found, key=found.get) == f"{name} text"
 
 
+def _best_windows(order, own, least):
+    """By trying every stretch from the start of a run to the end of a run."""
+    runs = [k for k, g in enumerate(order) if g in own and (k == 0 or order[k - 1] not in own)]
+    ends = [k + 1 for k, g in enumerate(order) if g in own and order[k + 1 : k + 2] not in [[x] for x in own]]
+    for a in runs:
+        best = None
+        for b in (b for b in ends if b > a):
+            seen = set(order[a:b])
+            if len(seen) <= len(own) * (2 - least) / least + 1e-9:
+                dice = 2 * len(seen & own) / (len(seen) + len(own))
+                if dice >= least and (best is None or dice > best[1]):
+                    best = (len(seen & own), dice, a, b)
+        if best:
+            yield best
+
+
+def test_licence_windows_equal_all_stretches():
+    r = random.Random(26)
+    for trial in range(300):
+        words = [f"w{k}" for k in range(r.choice([4, 9, 30]))]
+        template = " ".join(r.choices(words, k=r.randint(2, 25)))
+        text = " ".join(
+            r.choice([template, template[: r.randint(1, len(template))], " ".join(r.choices(words, k=5)), "zz yy"])
+            for _ in range(r.randint(0, 8))
+        )
+        least = r.choice([0.4, 0.6, 0.8])
+        scanner = licences.Scanner({"t": template}, least)
+        order, own = licences.word_bigrams(text), licences.bigrams(template)
+        number = {g: k for k, g in enumerate(dict.fromkeys(order))}
+        ids = np.array([number[g] for g in order], dtype=int)
+        inside = np.array([g in own for g in order], dtype=bool)
+        got = scanner._windows(inside, licences._previous(ids), len(own)) if order else []
+        assert got == list(_best_windows(order, own, least)), (trial, template, text)
+
+
+def test_licences_in_very_long_texts():
+    r = random.Random(27)
+    words = licences.TEMPLATES["GPL-3.0 text"].split()
+    scanner = licences.Scanner(licences.TEMPLATES, licences.DICE)
+    pieces = []
+    while len(pieces) < 20_000:
+        at = r.randrange(len(words))
+        pieces += [*words[at : at + 10], "zz"]
+    began = time.monotonic()
+    scanner.scan(" ".join(pieces * 5))  # 100,000 words of fragments
+    notices = scanner.scan("Text. Licensed under the MIT License. " * 20_000)
+    assert notices["MIT notice"] > 0.8 and time.monotonic() - began < 60
+
+
 @pytest.mark.parametrize("entries", [3, 200, 100_000])
 def test_words_equal_the_library_while_generations_change(entries):
     with open(WORDS, encoding="utf-8") as f:
