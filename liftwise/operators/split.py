@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftwise.functions.hashing import uniform
-from liftwise.operators.rank import hash_cut, hash_thresholds, ranked, row_index, up_to
+from liftwise.functions.hashing import bijection, uniform
+from liftwise.operators.rank import hash_cut, hash_thresholds, row_index, up_to
 
 TEST_SHARE = 0.3
 SPLIT_SEED = 42
@@ -100,24 +100,42 @@ def resample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return picks.join(df, key).select(DRAW, *df.columns)
 
 
-def permute(df: DataFrame, key: str, column: str, k: int, seed: int) -> DataFrame:
-    """Shuffle `column` among k chosen rows; everything else stays in place.
+def permute(
+    df: DataFrame, key: str, column: str, k: int, seed: int, size: int | None = None
+) -> DataFrame:
+    """Shuffle `column` among k rows (all if there are fewer); everything else stays in place.
 
-    The value of the row ranked r under one hash moves to the row ranked r under
-    another, so the multiset of values is kept.
+    Keyed bijections of the row numbers choose the rows and say where each value goes, so the
+    multiset of values is kept and one join by number moves them. Rows are numbered in the
+    order of the unique `key`; give `size` if the key itself numbers them from 0 to
+    size - 1, and nothing is ranked.
     """
     if k <= 0:
         return df
-    among = choose(df.select(key, column), key, k, seed)
-    giving = ranked(
-        among.withColumn("_u", uniform(F.col(key), seed + 1)), [F.col("_u"), F.col(key)]
-    ).select("rank", F.col(column).alias("_moved"))
-    taking = ranked(
-        among.select(key).withColumn("_u", uniform(F.col(key), seed + 2)),
-        [F.col("_u"), F.col(key)],
-    ).select("rank", key, F.lit(True).alias("_taken"))
-    moved = taking.join(giving, "rank").select(key, "_taken", "_moved")
-    value = F.when(F.col("_taken"), F.col("_moved")).otherwise(F.col(column))
-    return df.join(moved, key, "left").select(
+    if size is not None:
+        return _moved(df, F.col(key), column, k, seed, size).select(*df.columns)
+    numbered = row_index(df.select(key, column), key)
+    moved = _moved(numbered, F.col("idx"), column, k, seed, numbered.count())
+    # The rows themselves travel once, for this join.
+    fresh = moved.where(F.col("_slot") >= 0).select(key, F.struct(column).alias("_fresh"))
+    value = F.when(F.col("_fresh").isNull(), F.col(column)).otherwise(F.col(f"_fresh.{column}"))
+    return df.join(fresh, key, "left").select(
         *[value.alias(column) if c == column else F.col(c) for c in df.columns]
     )
+
+
+def _moved(df: DataFrame, idx: Column, column: str, k: int, seed: int, size: int) -> DataFrame:
+    """Rows with the value they get and their `_slot` among the k chosen, below 0 for others."""
+    if not size:
+        return df.withColumn("_slot", F.lit(-1))
+    k = min(k, size)
+    place = idx.cast("bigint") if k == size else bijection(idx, size, seed)
+    # Rows not chosen keep numbers of their own: nulls would meet in one task.
+    slots = df.withColumn("_place", place).withColumn(
+        "_slot", F.when(F.col("_place") < k, F.col("_place")).otherwise(-1 - F.col("_place"))
+    )
+    giving = slots.where(F.col("_slot") >= 0).select(
+        bijection(F.col("_slot"), k, seed + 1).alias("_slot"), F.struct(column).alias("_given")
+    )
+    value = F.when(F.col("_slot") < 0, F.col(column)).otherwise(F.col(f"_given.{column}"))
+    return slots.join(giving, "_slot", "left").withColumn(column, value)

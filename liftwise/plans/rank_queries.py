@@ -12,6 +12,7 @@ from liftwise.operators import requests as rq
 from liftwise.operators.perturb import SCENARIOS, make_scenario
 from liftwise.plans import inputs
 from liftwise.plans.registry import query
+from liftwise.plans.sql import bijection
 from liftwise.plans.sql import bucket as sql_bucket
 from liftwise.plans.sql import cte, u, with_
 from liftwise.schemas import FEATURES, KEY, OUTCOME, TREATMENT
@@ -360,15 +361,13 @@ def g5(spark, folder):
 @query(
     "g6_permute_column",
     f"""
-WITH among AS (SELECT * FROM (SELECT o_orderkey, o_orderstatus,
-    row_number() OVER (ORDER BY {u("o_orderkey", 20)}, o_orderkey) AS rn FROM orders)
-  WHERE rn <= (SELECT count(*) // 2 FROM orders)),
-taking AS (SELECT o_orderkey,
-  row_number() OVER (ORDER BY {u("o_orderkey", 22)}, o_orderkey) AS place FROM among),
-giving AS (SELECT o_orderstatus AS moved,
-  row_number() OVER (ORDER BY {u("o_orderkey", 21)}, o_orderkey) AS place FROM among)
-SELECT orders.o_orderkey, CASE WHEN place IS NULL THEN o_orderstatus ELSE moved END AS o_orderstatus
-FROM orders LEFT JOIN (taking JOIN giving USING (place)) t ON t.o_orderkey = orders.o_orderkey
+WITH sized AS (SELECT o_orderkey, o_orderstatus, count(*) OVER () AS n, n // 2 AS k,
+  row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders),
+placed AS (SELECT *, {bijection("idx", "n", 20)} AS place FROM sized),
+giving AS (SELECT {bijection("place", "k", 21)} AS place, o_orderstatus AS moved
+  FROM placed WHERE place < k)
+SELECT o_orderkey, CASE WHEN p.place < k THEN moved ELSE o_orderstatus END AS o_orderstatus
+FROM placed p LEFT JOIN giving g ON g.place = p.place
 """,
 )
 def g6(spark, folder):

@@ -1,10 +1,13 @@
 """Global ranks, splits, samples and scenarios against brute force."""
 
 import random
+from collections import Counter
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
 
+from liftwise.functions.hashing import bijection
 from liftwise.operators import rank, split
 from liftwise.operators.perturb import SCENARIOS, make_scenario
 
@@ -122,6 +125,54 @@ def test_permute_keeps_the_values(spark, many_slices):
     assert sorted(r["v"] for r in out.collect()) == sorted(r["v"] for r in df.collect())
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 1009])
+def test_bijection_is_one_to_one(spark, n):
+    ids = spark.range(n)
+    for seed in (1, 2):
+        got = [r[0] for r in ids.select(bijection(F.col("id"), n, seed)).collect()]
+        assert sorted(got) == list(range(n))
+    many = 2**40 + 7
+    far = spark.range(many - 500, many).select(bijection(F.col("id"), many, 3).alias("to"))
+    assert far.where(F.col("to").between(0, many - 1)).distinct().count() == 500
+
+
+def swapped(x: int, n: int, seed: int) -> int:
+    """The bijection of one number in plain Python."""
+    prime = 2**31 - 1
+    for r in range(1, 33):
+        digits = md5(f"{seed}:{r}".encode()).hexdigest()
+        shift, factor, plus = int(digits[:13], 16), int(digits[13:21], 16), int(digits[21:29], 16)
+        other = (shift - x) % n
+        if (max(x, other) % prime * (factor % prime) + plus) % prime < 2**30:
+            x = other
+    return x
+
+
+def test_bijections_are_spread_evenly(spark):
+    for n, seed in ((4, 5), (1009, 6), (2**40 + 7, 7)):
+        ids = spark.range(max(0, n - 300), n)
+        got = dict(ids.select("id", bijection(F.col("id"), n, seed)).collect())
+        assert got == {x: swapped(x, n, seed) for x in got}
+    seen = Counter(tuple(swapped(i, 4, seed) for i in range(4)) for seed in range(2400))
+    # All 24 orders, 100 of each expected; 49.7 is the 0.1 % point of chi-squared.
+    assert len(seen) == 24
+    assert sum((c - 100) ** 2 / 100 for c in seen.values()) < 49.7
+
+
+def test_permute_with_numbered_rows_ranks_nothing(spark):
+    df = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 5).alias("v"))
+    dense = split.permute(df, "k", "v", 120, 9, size=300)
+    assert sorted(dense.collect()) == sorted(split.permute(df, "k", "v", 120, 9).collect())
+    assert "rangepartitioning" not in dense._jdf.queryExecution().toString()
+    kept = dense.join(df.withColumnRenamed("v", "w"), "k").where("v = w").count()
+    assert 180 <= kept < 230
+    nulls = df.withColumn("v", F.when(F.col("v") > 1, F.col("v")))
+    moved = split.permute(nulls, "k", "v", 300, 9)
+    assert moved.where("v is null").count() == nulls.where("v is null").count() == 120
+    assert split.permute(df.limit(0), "k", "v", 5, 9).count() == 0
+    assert split.permute(df, "k", "v", 1000, 9).groupBy("v").count().count() == 5
+
+
 @pytest.fixture(scope="module")
 def people(spark):
     i = F.col("id")
