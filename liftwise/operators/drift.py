@@ -25,13 +25,13 @@ PSI_BANDS = (0.1, 0.2)
 LIFT_BANDS = (0.05, 0.1)
 
 
-def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) of the listed columns in one pass; NaN counts as null."""
+def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, column, value) of the listed columns in one pass; NaN counts as null."""
     doubles = [
         F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
         for c in columns
     ]
-    return df.select(*doubles).unpivot([], list(columns), "column", "value")
+    return df.select(*by, *doubles).unpivot(list(by), list(columns), "column", "value")
 
 
 def brackets(values: DataFrame, probs: Sequence[float]) -> DataFrame:
@@ -149,12 +149,20 @@ def bin_of(value: Column, cuts: Column, at_most: int = BINS - 1) -> Column:
     return F.when(value.isNull(), F.size(cuts) + 1).otherwise(total)
 
 
-def bin_counts(df: DataFrame, cuts: DataFrame, columns: Sequence[str], bins: int = BINS):
-    """(column, bin, count) of the bins that occur, from one scan."""
+def bin_counts(
+    df: DataFrame,
+    cuts: DataFrame,
+    columns: Sequence[str],
+    bins: int = BINS,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """(by, column, bin, count) of the bins that occur, from one scan. Counts of several
+    batches add up."""
     # One row per profiled column.
-    binned = long_values(df, columns).join(F.broadcast(cuts.select("column", "edges")), "column")
+    values = long_values(df, columns, by)
+    binned = values.join(F.broadcast(cuts.select("column", "edges")), "column")
     return binned.groupBy(
-        "column", bin_of(F.col("value"), F.col("edges"), bins - 1).alias("bin")
+        *by, "column", bin_of(F.col("value"), F.col("edges"), bins - 1).alias("bin")
     ).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -210,6 +218,21 @@ def psi(
     )
 
 
+def psi_of_counts(
+    reference: DataFrame, counts: DataFrame, by: Sequence[str] = (), eps: float = MIN_SHARE
+) -> DataFrame:
+    """(by, column, psi) from `bin_counts`, those of any number of batches together."""
+    of = [*by, "column"]
+    actual = counts.groupBy(*of, "bin").agg(F.sum("count").alias("count"))
+    rows = actual.groupBy(*of).agg(F.sum("count").alias("rows"))
+    # One row per profiled column and bin.
+    expected = reference.select("column", F.posexplode("shares").alias("bin", "expected"))
+    every = rows.join(F.broadcast(expected), "column").join(actual, [*of, "bin"], "left")
+    a = F.greatest(F.coalesce("count", F.lit(0)) / F.col("rows"), F.lit(eps))
+    e = F.greatest(F.col("expected"), F.lit(eps))
+    return every.groupBy(*of).agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
+
+
 def null_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, null_share) in one pass."""
     return (
@@ -219,6 +242,30 @@ def null_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _psi_metric() -> list[Column]:
+    """(metric, feature, value) of (column, psi): the score reports apart from features."""
+    score = F.col("column") == SCORE
+    return [
+        F.when(score, F.lit("uplift_psi")).otherwise(F.lit("feature_psi")).alias("metric"),
+        F.when(~score, F.col("column")).alias("feature"),
+        F.col("psi").alias("value"),
+    ]
+
+
+def windows_report(reference: DataFrame, counts: DataFrame, window: str) -> DataFrame:
+    """(window, metric, feature, value) of many windows from their summed `bin_counts`, in
+    which the count without a column is that of the rows."""
+    rows = counts.where(F.col("column").isNull()).groupBy(window).agg(F.sum("count").alias("n"))
+    sizes = rows.select(
+        F.col(window).alias("window"),
+        F.lit("rows").alias("metric"),
+        F.lit(None).cast("string").alias("feature"),
+        F.col("n").cast("double").alias("value"),
+    )
+    moved = psi_of_counts(reference, counts.where(F.col("column").isNotNull()), [window])
+    return sizes.unionByName(moved.select(F.col(window).alias("window"), *_psi_metric()))
+
+
 def drift_report(
     reference: DataFrame,
     current: DataFrame,
@@ -233,8 +280,6 @@ def drift_report(
     the batch carries treatment, outcome and uplift.
     """
     shared = [c for c in columns if c in current.columns]
-    name = F.when(F.col("column") == SCORE, F.lit("uplift_psi")).otherwise(F.lit("feature_psi"))
-    feature = F.when(F.col("column") != SCORE, F.col("column"))
     parts = [
         current.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
             F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("feature"), "value"
@@ -242,9 +287,7 @@ def drift_report(
     ]
     if shared:
         parts.append(
-            psi(reference, current, shared).select(
-                name.alias("metric"), feature.alias("feature"), F.col("psi").alias("value")
-            )
+            psi(reference, current, shared).select(*_psi_metric())
         )
     if {TREATMENT, OUTCOME, SCORE} <= set(current.columns):
         scores = current.select(

@@ -350,12 +350,10 @@ def m5(spark, folder):
     schema = spark.read.parquet(f"{at}/in").schema
     arriving = jobs.file_stream(spark, f"{at}/in", schema, files_per_trigger=3)
     columns = [*FEATURES, "uplift"]
-    _drain(
-        jobs.drift_stream(
-            arriving, _reference(spark, folder), columns, "draw", f"{at}/rows", f"{at}/out",
-            f"{at}/checkpoint",
-        )
-    )
+    kept = (f"{at}/rows", f"{at}/out")
+    reference = _reference(spark, folder)
+    _drain(jobs.drift_stream(arriving, reference, columns, "draw", *kept, f"{at}/checkpoint"))
+    jobs.close_drift_windows(spark, reference, "draw", *kept)
     return spark.read.parquet(f"{at}/out").select(
         "window", "metric", "feature", F.round("value", 9).alias("value")
     )

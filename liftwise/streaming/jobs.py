@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from liftwise.operators.drift import drift_report
+from liftwise.operators.drift import SCORE, bin_counts, windows_report
+from liftwise.operators.evaluate import TOP_SHARE, top_lift
 from liftwise.operators.learners import UpliftModel
 from liftwise.operators.requests import MAX_RECORDS, validate_requests
-from liftwise.sources.store import publish_metrics
+from liftwise.schemas import OUTCOME, TREATMENT
+from liftwise.sources.store import publish_windows
 
 
 def file_stream(
@@ -134,29 +136,78 @@ def drift_stream(
 ) -> StreamingQuery:
     """Drift of each window, named by a column, against a fixed profile.
 
-    Arriving rows are kept under `rows`, by window and micro-batch (a batch that runs again
-    replaces its own), and the windows it touched are published anew from all their rows:
-    how many files a micro-batch takes never changes the result. Rows without a window are
-    in none.
+    Every row is read once: a micro-batch leaves its bin counts per window under `rows` (a
+    batch that runs again replaces its own), and the windows it touched are published anew
+    from the sums of their counts, however many rows they hold and however many files a
+    micro-batch takes. Rows without a window are in none. Rows with treatment, outcome and
+    uplift also keep these and the key, for `close_drift_windows`.
     """
+    lifts = {TREATMENT, OUTCOME, SCORE} <= set(stream.columns)
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        kept = batch.where(F.col(window).isNotNull()).withColumn("_batch", F.lit(number))
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            window, "_batch"
-        ).parquet(rows)
-        # Their names only; a micro-batch touches few windows.
-        for (name,) in batch.where(F.col(window).isNotNull()).select(window).distinct().collect():
-            stored = spark.read.schema(kept.schema).parquet(rows)
-            current = stored.where(F.col(window) == F.lit(name)).drop(window, "_batch")
-            publish_metrics(
-                drift_report(reference, current, columns, key, str(name)), path, str(name)
+        named = batch.where(F.col(window).isNotNull()).withColumn(window, F.col(window).cast("string"))
+        shared = [c for c in columns if c in batch.columns]
+        named = named.select(*dict.fromkeys([window, key, *shared, *([TREATMENT, OUTCOME] if lifts else [])]))
+        named.persist()
+        try:
+            counts = named.groupBy(window).agg(F.count(F.lit(1)).alias("count")).select(
+                window, F.lit(None).cast("string").alias("column"), F.lit(-1).alias("bin"), "count"
             )
+            if shared:
+                counts = counts.unionByName(bin_counts(named, reference, shared, by=[window]))
+            counts.coalesce(1).withColumn("_batch", F.lit(number)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(window, "_batch").parquet(f"{rows}/counts")
+            if lifts:
+                scores = named.select(window, key, SCORE, TREATMENT, OUTCOME)
+                replace_batch(scores, f"{rows}/scores", number)
+            # Their names only; a micro-batch touches few windows.
+            touched = [name for (name,) in named.select(window).distinct().collect()]
+        finally:
+            named.unpersist()
+        if touched:
+            stored = _window_counts(spark, rows, window).where(F.col(window).isin(touched))
+            publish_windows(windows_report(reference, stored, window), path)
 
     return each_batch(stream, handle, checkpoint)
 
 
+def _window_counts(spark: SparkSession, rows: str, window: str) -> DataFrame:
+    """Bin counts of all micro-batches; they are partitioned by window."""
+    fields = f"column string, bin int, count bigint, `{window}` string, _batch int"
+    return spark.read.schema(fields).parquet(f"{rows}/counts")
+
+
+def close_drift_windows(
+    spark: SparkSession,
+    reference: DataFrame,
+    key: str,
+    rows: str,
+    path: str,
+    names: Sequence[str] | None = None,
+    window: str = "window",
+) -> None:
+    """Publish finished windows (all, unless named) once more, with their top lift, which needs
+    all of a window's scores at once. A row that arrives later publishes its window without
+    it again."""
+    counts = _window_counts(spark, rows, window)
+    scores = spark.read.parquet(f"{rows}/scores")
+    if names is not None:
+        counts = counts.where(F.col(window).isin(*names))
+        scores = scores.where(F.col(window).isin(*names))
+    scores = scores.select(
+        F.col(window).alias("learner"), key, F.col(SCORE).alias("score"), TREATMENT, OUTCOME
+    )
+    lift = top_lift(scores, key, TOP_SHARE).select(
+        F.col("learner").alias("window"),
+        F.lit("top20_lift").alias("metric"),
+        F.lit(None).cast("string").alias("feature"),
+        F.col("top_lift").alias("value"),
+    )
+    publish_windows(windows_report(reference, counts, window).unionByName(lift), path)
+
+
 THROTTLED = "caller string, request_id bigint, ts timestamp, accepted boolean"
 BUCKET = "tokens double, last double"
 CHUNK = 100_000

@@ -134,6 +134,38 @@ def test_late_requests_do_not_turn_the_clock_back():
     assert (tokens, last) == (0.0, 200_000.0)
 
 
+def test_closed_drift_windows_have_their_lift(spark, tmp_path):
+    k = F.col("id")
+    df = spark.range(240).select(
+        k.alias("key"), ((k * 37) % 101 / 101).alias("uplift"), (k % 2).cast("int").alias("treatment"),
+        (k % 3 == 0).cast("int").alias("y"), F.when(k % 4 > 0, F.concat(F.lit("0"), k % 2)).alias("window"),
+    )
+    for part in range(3):
+        df.where(f"key % 3 = {part}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    reference = dr.profile(df, ["uplift"])
+    at = [f"{tmp_path}/rows", f"{tmp_path}/out"]
+    arriving = jobs.file_stream(spark, f"{tmp_path}/in", df.schema, files_per_trigger=1)
+    jobs.drift_stream(
+        arriving, reference, ["uplift", "gone"], "key", *at, f"{tmp_path}/c"
+    ).awaitTermination()
+
+    def published():
+        rows = spark.read.schema("metric string, value double, window string").parquet(at[1])
+        return {(r["window"], r["metric"]): r["value"] for r in rows.collect()}
+
+    assert {m for _, m in published()} == {"rows", "uplift_psi"}
+    jobs.close_drift_windows(spark, reference, "key", *at, names=["01"])
+    assert ("00", "top20_lift") not in published()
+    jobs.close_drift_windows(spark, reference, "key", *at)
+    expected = {}
+    for name in ("00", "01"):
+        report = dr.drift_report(reference, df.where(F.col("window") == name), ["uplift"], "key")
+        expected |= {(name, r["metric"]): r["value"] for r in report.collect()}
+    got = published()
+    assert got.keys() == expected.keys()
+    assert all(v == (None if got[w] is None else pytest.approx(got[w])) for w, v in expected.items())
+
+
 @pytest.mark.parametrize("files", [1, 100])
 def test_drift_windows_do_not_depend_on_the_read_rate(spark, tmp_path, files):
     rows = [(k, float(k % 7), "even" if k % 2 else "odd") for k in range(60)] + [(60, 1.0, None)]
