@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwise.functions.hashing import bijection, uniform
+from liftwise.operators import rank
 from liftwise.operators.rank import hash_cut, hash_thresholds, row_index, up_to
+from liftwise.session import materialize
 
 TEST_SHARE = 0.3
 SPLIT_SEED = 42
@@ -20,16 +22,27 @@ def strata_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
 
 
 def largest_remainder(counts: DataFrame, strata: Sequence[str], share: float) -> DataFrame:
-    """Seats per stratum in proportion to its size, ceil(share * total) in all."""
-    everything = Window.partitionBy(F.lit(0))  # one row per stratum: a handful
-    total = F.sum("n").over(everything)
-    ideal = F.col("n") * F.ceil(total * F.lit(float(share))) / total
-    seats = counts.withColumns({"total": total, "ideal": ideal})
-    seats = seats.withColumn("seats", F.floor("ideal"))
-    left = F.ceil(F.col("total") * F.lit(float(share))) - F.sum("seats").over(everything)
-    order = everything.orderBy((F.col("ideal") - F.col("seats")).desc(), *strata)
-    extra = (F.row_number().over(order) <= left).cast("int")
-    return seats.select(*strata, "n", (F.col("seats") + extra).alias("quota"))
+    """Seats per stratum in proportion to its size, ceil(share * total) in all.
+
+    Equal remainders go by the strata's values. Many strata are ranked without a window over
+    all of them.
+    """
+    counts = materialize(counts)
+    groups, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if not total:
+        return counts.select(*strata, "n", F.lit(0).cast("bigint").alias("quota"))
+    wanted = F.ceil(F.lit(total) * F.lit(float(share)))
+    ideal = F.col("n") * wanted / F.lit(total)
+    seats = counts.withColumn("ideal", ideal).withColumn("seats", F.floor("ideal"))
+    left = seats.agg(F.max(wanted) - F.sum("seats")).first()[0]
+    order = [(F.col("ideal") - F.col("seats")).desc(), *[F.col(c).asc() for c in strata]]
+    if groups <= rank.BROADCAST_ROWS:
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
+        placed = seats.withColumn("rank", place)
+    else:
+        placed = rank.ranked(seats, order)
+    extra = (F.col("rank") <= F.lit(left)).cast("int")
+    return placed.select(*strata, "n", (F.col("seats") + extra).alias("quota"))
 
 
 def _choose(df: DataFrame, key: str, strata: Sequence[str], quotas: DataFrame, seed: int):

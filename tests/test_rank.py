@@ -1,5 +1,6 @@
 """Global ranks, splits, samples and scenarios against brute force."""
 
+import math
 import random
 from collections import Counter
 from hashlib import md5
@@ -125,6 +126,28 @@ def test_permute_keeps_the_values(spark, many_slices):
     assert sorted(r["v"] for r in out.collect()) == sorted(r["v"] for r in df.collect())
 
 
+def test_seats_of_many_strata_need_no_single_task(spark, monkeypatch):
+    i = F.col("id")
+    counts = spark.range(3000).select(
+        F.when(i > 0, i % 50).alias("a"), i.alias("b"), (1 + i * 7 % 13).alias("n")
+    )
+    few = split.largest_remainder(counts, ["a", "b"], 0.3)
+    monkeypatch.setattr(rank, "BROADCAST_ROWS", 20)
+    many = split.largest_remainder(counts, ["a", "b"], 0.3)
+    assert "SinglePartition" not in many._jdf.queryExecution().toString()
+    got = {r["b"]: r["quota"] for r in many.collect()}
+    assert got == {r["b"]: r["quota"] for r in few.collect()}
+    rows = [(1 + k * 7 % 13, k, k % 50 if k else -1) for k in range(3000)]
+    total = sum(n for n, _, _ in rows)
+    wanted = math.ceil(total * 0.3)
+    ideal = {k: n * wanted / total for n, k, _ in rows}
+    left = wanted - sum(map(math.floor, ideal.values()))
+    best = sorted(rows, key=lambda r: (math.floor(ideal[r[1]]) - ideal[r[1]], r[2], r[1]))[:left]
+    more = {k for _, k, _ in best}
+    assert got == {k: math.floor(x) + (k in more) for k, x in ideal.items()}
+    assert split.largest_remainder(counts.limit(0), ["a"], 0.3).count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 1009])
 def test_bijection_is_one_to_one(spark, n):
     ids = spark.range(n)
