@@ -304,12 +304,15 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, tokens: int = SHARD
         if names:
             yield row()
 
+    # Range bounds come from a sample of the keys on the driver: a hash stands for the text there.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash"), F.col("text")]
     ordered = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "text")
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .withColumn("hash", F.xxhash64("text"))
+        .repartitionByRange(*order[:2])
+        .sortWithinPartitions(*order)
     )
-    ordered.mapInArrow(cut, SHARDS).write.parquet(path)
+    ordered.select("doc_id", "text").mapInArrow(cut, SHARDS).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
