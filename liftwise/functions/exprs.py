@@ -50,6 +50,11 @@ def month_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def month_number(ts: Column) -> Column:
+    """The calendar month as a number, months since year 0."""
+    return F.year(ts) * 12 + F.month(ts) - 1
+
+
 def days_before(ts: Column, days: int) -> Column:
     """The moment `days` days before `ts`."""
     return ts - F.make_dt_interval(F.lit(days))

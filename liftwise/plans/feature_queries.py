@@ -26,7 +26,7 @@ def _cutoff(spark, folder):
     return feat.as_cutoff(star.purchases(spark, folder), None)
 
 
-@query("b1_age_range", with_("client_part", "SELECT client_id, age FROM client_part"))
+@query("b1_age_range", with_("person", "SELECT client_id, age FROM person"))
 def b1(spark, folder):
     clients = star.clients(spark, folder)
     return clients.select(KEY, X.within(c("age"), *feat.AGE_RANGE).alias("age"))
@@ -34,7 +34,7 @@ def b1(spark, folder):
 
 @query(
     "b2_gender_flags",
-    with_("client_part", "SELECT client_id, gender_f, gender_m, gender_u FROM client_part"),
+    with_("person", "SELECT client_id, gender_f, gender_m, gender_u FROM person"),
 )
 def b2(spark, folder):
     clients = star.clients(spark, folder)
@@ -42,7 +42,7 @@ def b2(spark, folder):
     return clients.select(KEY, *flags)
 
 
-@query("b3_days_between", with_("client_part", "SELECT client_id, tenure_days FROM client_part"))
+@query("b3_days_between", with_("person", "SELECT client_id, tenure_days FROM person"))
 def b3(spark, folder):
     tenure = X.days_between(_cutoff(spark, folder), c("first_issue_date"))
     return star.clients(spark, folder).select(KEY, tenure.alias("tenure_days"))
@@ -50,7 +50,7 @@ def b3(spark, folder):
 
 @query(
     "b4_censored_flag",
-    with_("client_part", "SELECT client_id, redeemed_before_cutoff FROM client_part"),
+    with_("person", "SELECT client_id, redeemed_before_cutoff FROM person"),
 )
 def b4(spark, folder):
     known = X.known_by(c("first_redeem_date"), _cutoff(spark, folder))
@@ -59,7 +59,7 @@ def b4(spark, folder):
 
 @query(
     "b5_censored_interval",
-    with_("client_part", "SELECT client_id, days_issue_to_redeem FROM client_part"),
+    with_("person", "SELECT client_id, days_issue_to_redeem FROM person"),
 )
 def b5(spark, folder):
     cutoff = _cutoff(spark, folder)
@@ -84,37 +84,37 @@ def b7(spark, folder):
 @query(
     "b8_recent_interval",
     with_(
-        "txn cut",
-        "SELECT client_id, transaction_id, ts FROM txn "
-        "WHERE ts > (SELECT cutoff FROM cut) - INTERVAL 30 DAY",
+        "receipts cut",
+        "SELECT client_id, transaction_id, bought_at FROM receipts "
+        "WHERE bought_at > (SELECT cutoff FROM cut) - INTERVAL 30 DAY",
     ),
 )
 def b8(spark, folder):
     lines = star.purchases(spark, folder)
-    recent = c("ts") > X.days_before(_cutoff(spark, folder), feat.RECENT_DAYS)
-    return feat.transaction_rollup(lines).where(recent).select(KEY, "transaction_id", "ts")
+    recent = c("bought_at") > X.days_before(_cutoff(spark, folder), feat.RECENT_DAYS)
+    return feat.transaction_rollup(lines).where(recent).select(KEY, "transaction_id", "bought_at")
 
 
 @query(
     "b9_sign_flip",
-    with_("txn", "SELECT client_id, transaction_id, reg_spent, exp_spent FROM txn"),
+    with_("receipts", "SELECT client_id, transaction_id, regular_used, express_used FROM receipts"),
 )
 def b9(spark, folder):
     rolled = feat.transaction_rollup(star.purchases(spark, folder))
-    return rolled.select(KEY, "transaction_id", "reg_spent", "exp_spent")
+    return rolled.select(KEY, "transaction_id", "regular_used", "express_used")
 
 
 @query(
     "b10_safe_ratio",
     with_(
-        "txn",
-        "SELECT client_id, transaction_id, paid_redeemed / nullif(reg_spent, 0) AS per_point "
-        "FROM txn",
+        "receipts",
+        "SELECT client_id, transaction_id, redeemed_units / nullif(regular_used, 0) AS per_point "
+        "FROM receipts",
     ),
 )
 def b10(spark, folder):
     rolled = feat.transaction_rollup(star.purchases(spark, folder))
-    per_point = X.ratio(c("paid_redeemed"), c("reg_spent"))
+    per_point = X.ratio(c("redeemed_units"), c("regular_used"))
     return rolled.select(KEY, "transaction_id", per_point.alias("per_point"))
 
 
@@ -219,14 +219,14 @@ def b17(spark, folder):
 @query(
     "c1_left_joins",
     with_(
-        "clients per_client variety",
+        "clients activity assortment",
         "SELECT client_id, n_transactions, n_products FROM clients "
-        "LEFT JOIN per_client USING (client_id) LEFT JOIN variety USING (client_id)",
+        "LEFT JOIN activity USING (client_id) LEFT JOIN assortment USING (client_id)",
     ),
 )
 def c1(spark, folder):
     lines = star.purchases(spark, folder)
-    rolled = feat.transaction_rollup(lines, with_store=False)
+    rolled = feat.transaction_rollup(lines)
     spending = rolled.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_transactions"))
     return (
         star.clients(spark, folder)
@@ -239,8 +239,8 @@ def c1(spark, folder):
 @query(
     "c2_inner_join_labels",
     with_(
-        "client_part labels_in",
-        "SELECT client_id, age, treatment, y FROM client_part JOIN labels_in USING (client_id)",
+        "person labels_in",
+        "SELECT client_id, age, treatment, y FROM person JOIN labels_in USING (client_id)",
     ),
 )
 def c2(spark, folder):
@@ -332,19 +332,19 @@ def c8(spark, folder):
     return quality.missing_shards(placed, 200)
 
 
-@query("d1_transaction_rollup", with_("txn", "SELECT * FROM txn"))
+@query("d1_transaction_rollup", with_("receipts", "SELECT * FROM receipts"))
 def d1(spark, folder):
     return feat.transaction_rollup(star.purchases(spark, folder))
 
 
-@query("d2_client_aggregate", with_("per_client", "SELECT * FROM per_client"))
+@query("d2_client_aggregate", with_("purchase_part", "SELECT * FROM purchase_part"))
 def d2(spark, folder):
     lines = star.purchases(spark, folder)
-    rolled = feat.transaction_rollup(lines, with_store=False)
+    rolled = feat.transaction_rollup(lines)
     return feat.client_aggregate(rolled, _cutoff(spark, folder))
 
 
-@query("d3_client_products", with_("variety", "SELECT client_id, n_products FROM variety"))
+@query("d3_client_products", with_("assortment", "SELECT client_id, n_products FROM assortment"))
 def d3(spark, folder):
     return feat.client_products(star.purchases(spark, folder))
 
@@ -371,12 +371,12 @@ def d5(spark, folder):
 
 @query(
     "d6_filtered_aggregates",
-    with_("per_client", "SELECT client_id, n_transactions_30d, spend_30d FROM per_client"),
+    with_("recent", "SELECT client_id, n_transactions_30d, spend_30d FROM recent"),
 )
 def d6(spark, folder):
-    recent = c("ts") > X.days_before(_cutoff(spark, folder), feat.RECENT_DAYS)
-    rolled = feat.transaction_rollup(star.purchases(spark, folder), with_store=False)
-    spent = F.when(recent, c("purchase_sum")).otherwise(0.0)
+    recent = c("bought_at") > X.days_before(_cutoff(spark, folder), feat.RECENT_DAYS)
+    rolled = feat.transaction_rollup(star.purchases(spark, folder))
+    spent = F.when(recent, c("spend")).otherwise(0.0)
     return rolled.groupBy(KEY).agg(
         F.count_if(recent).alias("n_transactions_30d"), X.exact_sum(spent).alias("spend_30d")
     )
@@ -385,15 +385,16 @@ def d6(spark, folder):
 @query(
     "d7_count_distinct",
     with_(
-        "txn",
-        "SELECT client_id, count(DISTINCT store_id) AS n_stores, "
-        "count(DISTINCT month) AS active_months FROM txn GROUP BY 1",
+        "receipts",
+        "SELECT client_id, count(DISTINCT store) AS n_stores, "
+        "count(DISTINCT strftime(bought_at, '%Y-%m')) AS active_months FROM receipts GROUP BY 1",
     ),
 )
 def d7(spark, folder):
     rolled = feat.transaction_rollup(star.purchases(spark, folder))
+    rolled = rolled.withColumn("month", X.month_number(c("bought_at")))
     return rolled.groupBy(KEY).agg(
-        F.count_distinct("store_id").alias("n_stores"),
+        F.count_distinct("store").alias("n_stores"),
         F.count_distinct("month").alias("active_months"),
     )
 

@@ -27,8 +27,8 @@ def test_features_never_shuffle_lines_by_client_alone(feature_plan):
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", feature_plan)
     columns = [[c.strip().split("#")[0] for c in k.split(",")] for k in keys]
     assert ["client_id", "transaction_id"] in columns
-    assert ["client_id", "month"] in columns
-    assert ["client_id", "product_id", "store_id", "gid"] in columns
+    assert ["client_id", "product_id"] in columns
+    assert any({"client_id", "month", "store"} <= set(keys) for keys in columns)
 
 
 def test_features_hash_and_stay_in_the_jvm(feature_plan):
