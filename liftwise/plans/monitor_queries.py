@@ -17,6 +17,7 @@ from liftwise.session import scratch
 from liftwise.sources import star_schema as star
 from liftwise.sources.store import publish_metrics
 from liftwise.streaming import jobs
+from liftwise.streaming.throttle import decisions, open_decisions, throttle_stream
 
 c = F.col
 
@@ -374,7 +375,7 @@ step AS (
   UNION ALL
   SELECT a.caller, a.request_id, a.ts, a.s, a.rn, least({RATE}::DOUBLE,
     (CASE WHEN p.before >= 1 THEN p.before - 1 ELSE p.before END)
-      + (a.s - p.s) * ({RATE}::DOUBLE / {PER}::DOUBLE))
+      + CASE WHEN a.s - p.s >= {PER} THEN {RATE} ELSE (a.s - p.s) * ({RATE}::DOUBLE / {PER}::DOUBLE) END)
   FROM step p JOIN asked a ON a.caller = p.caller AND a.rn = p.rn + 1)
 SELECT CAST(caller AS VARCHAR) AS caller, request_id, before >= 1 AS accepted FROM step
 """,
@@ -388,6 +389,8 @@ def m6(spark, folder):
     asked = authorized.select(
         c("user_id").alias("caller"), c("event_id").alias("request_id"), "ts"
     )
-    answered = jobs.throttle_stream(asked, RATE, PER)
-    _drain(jobs.append_table(answered, f"{at}/out", f"{at}/checkpoint"))
-    return spark.read.parquet(f"{at}/out").select("caller", "request_id", "accepted")
+    _drain(
+        throttle_stream(asked, RATE, f"{at}/out", f"{at}/state", f"{at}/checkpoint", PER, delay=PER)
+    )
+    still_open = open_decisions(spark, f"{at}/state", RATE, PER)
+    return decisions(spark, f"{at}/out").unionByName(still_open).drop("ts")

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: scoring, validation, request metrics, drift, throttling.
+"""Structured Streaming jobs: scoring, validation, request metrics, drift.
 
 Every job takes a streaming DataFrame and starts a query that drains what is
 available (`availableNow`), so a scheduler can rerun it; drop the trigger for a
@@ -8,14 +8,11 @@ again after a failure replaces what it wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from liftwise.operators.drift import SCORE, bin_counts, windows_report
 from liftwise.operators.evaluate import TOP_SHARE, top_lift
@@ -206,72 +203,3 @@ def close_drift_windows(
         F.col("top_lift").alias("value"),
     )
     publish_windows(windows_report(reference, counts, window).unionByName(lift), path)
-
-
-THROTTLED = "caller string, request_id bigint, ts timestamp, accepted boolean"
-BUCKET = "tokens double, last double"
-CHUNK = 100_000
-
-
-def take_tokens(
-    seconds: Sequence[float], rate: float, per: float, tokens: float, last: float | None
-) -> tuple[list[bool], float, float | None]:
-    """Spend one token per request in time order; refused requests spend nothing.
-
-    `rate` tokens return per `per` seconds, up to `rate`. The clock never runs back: a
-    request older than one already decided (a late file) spends a token and earns none.
-    """
-    accepted = []
-    for now in seconds:
-        if last is not None:
-            tokens = min(rate, tokens + max(0.0, now - last) * (rate / per))
-        last = now if last is None else max(last, now)
-        ok = tokens >= 1
-        tokens -= ok
-        accepted.append(bool(ok))
-    return accepted, tokens, last
-
-
-def throttle_stream(
-    stream: DataFrame, rate: float, per: float = 1.0, caller: str = "caller"
-) -> DataFrame:
-    """(caller, request_id, ts, accepted) by a token bucket per caller in event time.
-
-    Each bucket is two numbers of state. Requests of one caller depend on each other
-    and run in one task, which keeps two numbers per request of the micro-batch;
-    `files_per_trigger` bounds how many there are.
-    """
-
-    def bucket(
-        key: tuple, parts: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        tokens, last = state.get if state.exists else (rate, None)
-        micros, ids = [], []
-        for part in parts:
-            micros.append(part["ts"].astype("datetime64[us]").astype("int64").to_numpy())
-            ids.append(part["request_id"].to_numpy())
-        micros, ids = np.concatenate(micros), np.concatenate(ids)
-        order = np.lexsort((ids, micros))
-        for start in range(0, len(order), CHUNK):
-            rows = order[start : start + CHUNK]
-            seconds = (micros[rows] / 1e6).tolist()
-            accepted, tokens, last = take_tokens(seconds, rate, per, tokens, last)
-            yield pd.DataFrame(
-                {
-                    "caller": key[0],
-                    "request_id": ids[rows],
-                    "ts": micros[rows].astype("datetime64[us]"),
-                    "accepted": accepted,
-                }
-            )
-        state.update((tokens, last))
-
-    asked = stream.select(
-        F.col(caller).cast("string").alias("caller"),
-        "request_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-    )
-    return asked.groupBy("caller").applyInPandasWithState(
-        bucket, THROTTLED, BUCKET, "append", GroupStateTimeout.NoTimeout
-    )
-

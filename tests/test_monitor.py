@@ -89,30 +89,6 @@ def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
     assert batch.agg(F.sum("requests")).first()[0] == 6
 
 
-def test_token_bucket():
-    accepted, tokens, last = jobs.take_tokens([0.0, 0.0, 0.0], 2.0, 1.0, 2.0, None)
-    assert accepted == [True, True, False]
-    accepted, tokens, _ = jobs.take_tokens([0.4, 0.6, 5.0], 2.0, 1.0, tokens, last)
-    assert accepted == [False, True, True]
-    assert tokens == 1.0
-
-
-def test_throttle_keeps_state_between_batches(spark, tmp_path):
-    at = lambda s: START + timedelta(seconds=s)
-    parts = [
-        [(1, at(0), "a", 0.0, 200), (3, at(0.2), "a", 0.0, 200), (2, at(0.1), "a", 0.0, 200),
-         (9, at(0), "b", 0.0, 200)],
-        [(4, at(0.3), "a", 0.0, 200), (5, at(3), "a", 0.0, 200)],
-    ]
-    write_in_order(spark, parts, f"{tmp_path}/in")
-    schema = spark.read.parquet(f"{tmp_path}/in").schema
-    stream = jobs.file_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=1)
-    answered = jobs.throttle_stream(stream, 2.0)
-    jobs.append_table(answered, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
-    got = {r["request_id"]: r["accepted"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
-    assert got == {1: True, 2: True, 3: False, 4: False, 5: True, 9: True}
-
-
 def test_batch_written_twice_counts_once(spark, tmp_path):
     df = spark.range(5)
     for _ in range(2):
@@ -124,62 +100,3 @@ def test_metrics_match_between_tumbling_and_sliding(spark):
     df = log(spark, [(s, "a", 1.0, 200) for s in range(0, 600, 30)])
     slid = jobs.request_metrics(df, "5 minutes", [], "0 seconds", "1 minute")
     assert slid.agg(F.sum("requests")).first()[0] == 5 * 20
-
-
-def test_late_requests_do_not_turn_the_clock_back():
-    from liftwise.streaming.jobs import take_tokens
-
-    accepted, tokens, last = take_tokens([100.0, 100.0, 100.0], 2, 86400.0, 2.0, 200_000.0)
-    assert accepted == [True, True, False]
-    assert (tokens, last) == (0.0, 200_000.0)
-
-
-def test_closed_drift_windows_have_their_lift(spark, tmp_path):
-    k = F.col("id")
-    df = spark.range(240).select(
-        k.alias("key"), ((k * 37) % 101 / 101).alias("uplift"), (k % 2).cast("int").alias("treatment"),
-        (k % 3 == 0).cast("int").alias("y"), F.when(k % 4 > 0, F.concat(F.lit("0"), k % 2)).alias("window"),
-    )
-    for part in range(3):
-        df.where(f"key % 3 = {part}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    reference = dr.profile(df, ["uplift"])
-    at = [f"{tmp_path}/rows", f"{tmp_path}/out"]
-    arriving = jobs.file_stream(spark, f"{tmp_path}/in", df.schema, files_per_trigger=1)
-    jobs.drift_stream(
-        arriving, reference, ["uplift", "gone"], "key", *at, f"{tmp_path}/c"
-    ).awaitTermination()
-
-    def published():
-        rows = spark.read.schema("metric string, value double, window string").parquet(at[1])
-        return {(r["window"], r["metric"]): r["value"] for r in rows.collect()}
-
-    assert {m for _, m in published()} == {"rows", "uplift_psi"}
-    jobs.close_drift_windows(spark, reference, "key", *at, names=["01"])
-    assert ("00", "top20_lift") not in published()
-    jobs.close_drift_windows(spark, reference, "key", *at)
-    expected = {}
-    for name in ("00", "01"):
-        report = dr.drift_report(reference, df.where(F.col("window") == name), ["uplift"], "key")
-        expected |= {(name, r["metric"]): r["value"] for r in report.collect()}
-    got = published()
-    assert got.keys() == expected.keys()
-    assert all(v == (None if got[w] is None else pytest.approx(got[w])) for w, v in expected.items())
-
-
-@pytest.mark.parametrize("files", [1, 100])
-def test_drift_windows_do_not_depend_on_the_read_rate(spark, tmp_path, files):
-    rows = [(k, float(k % 7), "even" if k % 2 else "odd") for k in range(60)] + [(60, 1.0, None)]
-    df = spark.createDataFrame(rows, "key long, v double, window string")
-    for part in range(3):
-        df.where(f"key % 3 = {part}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    reference = dr.profile(df, ["v"])
-    arriving = jobs.file_stream(spark, f"{tmp_path}/in", df.schema, files_per_trigger=files)
-    at = [f"{tmp_path}/{name}" for name in ("rows", "out", "checkpoint")]
-    jobs.drift_stream(arriving, reference, ["v"], "key", *at).awaitTermination()
-    got = {(r["window"], r["metric"]): r["value"] for r in spark.read.parquet(at[1]).collect()}
-    for name in ("even", "odd"):
-        whole = dr.drift_report(reference, df.where(F.col("window") == name), ["v"], "key").collect()
-        assert {r["metric"]: r["value"] for r in whole} == pytest.approx(
-            {metric: value for (window, metric), value in got.items() if window == name}
-        )
-    assert {window for window, _ in got} == {"even", "odd"}
