@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwise.functions.exprs import is_pinned
@@ -73,11 +76,33 @@ def e5(spark, folder):
 
 @query(
     "e6_merge_complete",
-    'SELECT count(*) AS "rows", count(*) AS keys, count(*) AS labeled, true AS complete '
-    "FROM customer",
+    """
+SELECT merge, CAST(sum(copies) AS BIGINT) AS "rows", count(*) FILTER (WHERE copies > 0) AS keys,
+  count(*) AS labeled, sum(copies) = count(*) AND max(copies) = 1 AS complete
+FROM (SELECT 'whole' AS merge, 1 AS copies FROM customer
+  UNION ALL SELECT 'lost', CAST(c_custkey % 7 <> 0 AS INTEGER) FROM customer
+  UNION ALL SELECT 'repeated', 1 + CAST(c_custkey % 10 = 0 AS INTEGER) FROM customer
+  UNION ALL SELECT 'swapped', CASE c_custkey % 10 WHEN 0 THEN 2 WHEN 1 THEN 0 ELSE 1 END FROM customer)
+GROUP BY 1
+""",
 )
 def e6(spark, folder):
-    return quality.check_merge(inputs.labeled(spark, folder), star.labels(spark, folder))
+    """A sound merge, one that lost clients, one that repeats some, and one that does both."""
+    whole, labels = inputs.labeled(spark, folder), star.labels(spark, folder)
+    tenth = whole.where(c(KEY) % 10 == 0)
+    merges = {
+        "whole": whole,
+        "lost": whole.where(c(KEY) % 7 != 0),
+        "repeated": whole.unionByName(tenth),
+        "swapped": whole.where(c(KEY) % 10 != 1).unionByName(tenth),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            quality.check_merge(merged, labels).withColumn("merge", F.lit(name))
+            for name, merged in merges.items()
+        ],
+    )
 
 
 @query(

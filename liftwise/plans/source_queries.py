@@ -13,7 +13,7 @@ from liftwise.operators.features import history_cutoff
 from liftwise.plans import inputs
 from liftwise.plans.registry import query
 from liftwise.plans.sql import bucket as sql_bucket
-from liftwise.plans.sql import long_values, profile_of, with_
+from liftwise.plans.sql import long_values, profile_of, psi_of, with_
 from liftwise.schemas import CLIENTS, FEATURES, KEY
 from liftwise.session import scratch
 from liftwise.sources import star_schema as star
@@ -193,11 +193,22 @@ def a11(spark, folder):
     )
 
 
+long_values("held_out_some", "held_out", PROFILED)
+psi_of("psi_first", "training_some_profile", "training_some")
+psi_of("psi_second", "training_some_profile", "held_out_some")
+
+
 @query(
     "a12_publish_metrics",
-    with_("held_out training",
-          "SELECT 'first' AS \"window\", 'rows' AS metric, count(*)::DOUBLE AS value FROM training"
-          " UNION ALL SELECT 'second', 'rows', count(*)::DOUBLE FROM held_out"),
+    with_(
+        "held_out training psi_first psi_second",
+        """
+SELECT 'first' AS "window", 'rows' AS metric, NULL AS feature, count(*)::DOUBLE AS value FROM training
+UNION ALL SELECT 'second', 'rows', NULL, count(*)::DOUBLE FROM held_out
+UNION ALL SELECT 'first', 'feature_psi', "column", round(psi, 9) FROM psi_first
+UNION ALL SELECT 'second', 'feature_psi', "column", round(psi, 9) FROM psi_second
+""",
+    ),
 )
 def a12(spark, folder):
     path = scratch(spark, "a12")
@@ -206,8 +217,8 @@ def a12(spark, folder):
     for window, batch in (("first", test), ("second", test), ("first", train)):
         # The last push replaces the first window and leaves the second alone.
         store.publish_metrics(drift_report(reference, batch, PROFILED, KEY, window), path, window)
-    published = spark.read.parquet(path).where("metric = 'rows'")
-    return published.select("window", "metric", "value")
+    published = spark.read.parquet(path)
+    return published.select("window", "metric", "feature", F.round("value", 9).alias("value"))
 
 
 @query(
