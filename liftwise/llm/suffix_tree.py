@@ -48,9 +48,14 @@ DISCOUNT = 0.5
 BITS = 1 << 25
 END = "\n"  # no word holds it
 FLUSH = 300_000
+# N-grams that a worker holds before it hands them on, rows that it hands on at once, and words
+# whose hash it keeps: what a task holds does not depend on how much it reads.
+HELD_GRAMS = 500_000
+SENT_ROWS = 50_000
+KEPT_HASHES = 100_000
 FOLDS, HELD = 7, 2
 
-_hash = Cache(xxhash.xxh64_intdigest)
+_hash = Cache(xxhash.xxh64_intdigest, KEPT_HASHES)
 END_HASH = np.uint64(xxhash.xxh64_intdigest(END))
 
 
@@ -185,35 +190,47 @@ def _find(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(ordered[at] == values, at, -1)
 
 
+GRAMS = pa.schema([("ctx", pa.int64()), ("suf", pa.int64()), ("c", pa.int64())])
+
+
+def counted_grams(
+    batches: Iterator[pa.RecordBatch], n: int, bits: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """(ctx, suf, c) of the n-grams of texts whose two sides `bits` lets through, counted among
+    about HELD_GRAMS of them at a time and handed on in batches of at most SENT_ROWS."""
+    found, held = [], 0
+
+    def rows():
+        context, suffix = (np.concatenate(f) for f in zip(*found, strict=True))
+        found.clear()
+        _, first, times = np.unique(
+            joined_keys(context, suffix), return_index=True, return_counts=True
+        )
+        columns = [context[first].view(np.int64), suffix[first].view(np.int64), times]
+        for at in range(0, len(times), SENT_ROWS):
+            some = [pa.array(c[at : at + SENT_ROWS], pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays(some, schema=GRAMS)
+
+    for batch in batches:
+        *_, (keys, _), (_, inside) = grams(token_hashes(batch.column(0).to_pylist()), n)
+        often = _passes(bits, keys)
+        good = np.flatnonzero(inside & often[:-1] & often[1:])
+        found.append((keys[good], keys[good + 1]))
+        held += len(good)
+        if held > HELD_GRAMS:
+            yield from rows()
+            held = 0
+    if held:
+        yield from rows()
+
+
 def gram_counts(train: DataFrame, n: int, shorter: DataFrame) -> DataFrame:
     """(ctx, suf, c, key) of the n-grams seen MIN_COUNT times: keys of all words but the last
     and of all but the first. Both are among `shorter`, the (n-1)-grams seen so often."""
     shared = train.sparkSession.sparkContext.broadcast(bitmap(shorter))
-    schema = pa.schema([("ctx", pa.int64()), ("suf", pa.int64()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], 0
-
-        def rows():
-            context, suffix = (np.concatenate(f) for f in zip(*found, strict=True))
-            _, first, times = np.unique(
-                joined_keys(context, suffix), return_index=True, return_counts=True
-            )
-            return pa.RecordBatch.from_arrays(
-                [pa.array(context[first].view(np.int64)), pa.array(suffix[first].view(np.int64)),
-                 pa.array(times)], schema=schema)
-
-        for batch in batches:
-            *_, (keys, _), (_, inside) = grams(token_hashes(batch.column(0).to_pylist()), n)
-            often = _passes(shared.value, keys)
-            good = np.flatnonzero(inside & often[:-1] & often[1:])
-            found.append((keys[good], keys[good + 1]))
-            held += len(good)
-            if held > 8 * FLUSH:
-                yield rows()
-                found, held = [], 0
-        if held:
-            yield rows()
+        return counted_grams(batches, n, shared.value)
 
     @F.pandas_udf("long")
     def key(context: pd.Series, suffix: pd.Series) -> pd.Series:

@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from parity import database, sql_rows
 
@@ -172,6 +174,30 @@ def test_shares_of_the_corpus_change_no_score(spark, monkeypatch):
         assert d < 200 or score > base + 3  # the rare phrase is learnt
 
 
+def test_counted_grams_come_in_small_batches(monkeypatch):
+    """What a task holds and hands on at once does not grow with the rows it reads."""
+    r = random.Random(4)
+    texts = [" ".join(r.choice("abcdefgh") * r.randint(1, 9) for _ in range(50)) for _ in range(400)]
+    parts = [pa.RecordBatch.from_pydict({"text": texts[at : at + 20]}) for at in range(0, 400, 20)]
+    every = np.full(suffix_tree.BITS // 8, 255, np.uint8)
+
+    def counted():
+        out, most = Counter(), 0
+        for batch in suffix_tree.counted_grams(iter(parts), 3, every):
+            most = max(most, batch.num_rows)
+            for row in batch.to_pylist():
+                out[row["ctx"], row["suf"]] += row["c"]
+        return out, most
+
+    whole, _ = counted()
+    monkeypatch.setattr(suffix_tree, "HELD_GRAMS", 3_000)
+    monkeypatch.setattr(suffix_tree, "SENT_ROWS", 100)
+    assert counted() == (whole, 100)
+    ends = [[*t.split(), "\n"] for t in texts]
+    want = Counter(tuple(w[i : i + 3]) for w in ends for i in range(len(w) - 2))
+    assert sorted(whole.values()) == sorted(want.values())
+
+
 def test_next_word_probabilities_sum_to_one(spark, monkeypatch):
     for name in ("HEAD_SHARE", "PAIR_SHARE", "CONTEXT_SHARE"):
         monkeypatch.setattr(suffix_tree, name, 0.0)
