@@ -43,7 +43,8 @@ SAMPLE = 64  # words of 64 bits between two rank samples
 # Words of a generation that a worker keeps, and the longest one kept, in bytes.
 KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
-MARKS = b".,!?;:"
+# Marks that the tokenizer keeps together as one piece, whatever run of them follows a word.
+MARKS = b".,!?;:#$%&*"
 
 
 class Plane:
@@ -108,14 +109,15 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All ids, undoing the planes from the last to the first."""
-        out = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.size, kind)
         for level, (plane, zeros) in enumerate(
             zip(reversed(self.planes), reversed(self.zeros), strict=True)
         ):
             bits = plane.bits()
             back = np.empty_like(out)
             back[~bits] = out[:zeros]
-            back[bits] = out[zeros:] | np.uint32(1 << level)
+            back[bits] = out[zeros:] | kind(1 << level)
             out = back
         return out
 
@@ -206,12 +208,13 @@ class WordCodec:
         self.entries = entries
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.passing: list[bytes] = []  # long words of the batch, not kept
 
     def __reduce__(self):
         return (WordCodec, (self.spec, self.entries))
 
     def _piece(self, piece: bytes) -> bytes:
-        """Ids of a run of lower-case Latin-1 letters, or of one mark. Nothing of the normalizer
+        """Ids of a run of lower-case Latin-1 letters, or of marks. Nothing of the normalizer
         or the splitting rules changes it, so the merges alone are asked."""
         code = self.young.get(piece)
         if code is None:
@@ -224,37 +227,41 @@ class WordCodec:
         return code
 
     def codes(self, found: list[list[bytes]]) -> dict[bytes, bytes]:
-        """The ids of all words of a batch. Letters of Latin-1 and one mark after them are
-        pieces that the tokenizer splits a word into anyway, in lower case; any other word is
-        encoded as it is, in one call for the batch unless it is kept."""
+        """The ids of all words of a batch, until the next one is asked. Words met before are
+        looked up whole. Of a new one, letters of Latin-1 and a run of marks after them are pieces
+        that the tokenizer splits a word into anyway, in lower case; any other word is encoded
+        as it is, in one call for the batch."""
+        for w in self.passing:
+            self.young.pop(w, None)
         if len(self.young) >= self.entries:
             self.old, self.young = self.young, {}
-        codes: dict[bytes, bytes] = {}
-        odd, piece = [], self._piece
-        for w in set().union(*found):
-            head, mark = (w[:-1], w[-1:]) if w[-1] in MARKS else (w, b"")
-            if not head.isalpha():
-                text = head.decode("utf-8")
-                if not text.isalpha() or max(text) > "\xff":
-                    code = self.young.get(w) or self.old.get(w)
-                    if code is None:
+        young, old, piece = self.young, self.old, self._piece
+        odd, self.passing = [], []
+        for w in set().union(*found).difference(young):
+            code = old.get(w)
+            if code is None:
+                head = w.rstrip(MARKS)
+                mark = w[len(head) :]
+                if not head.isalpha():
+                    text = head.decode("utf-8")
+                    if not text.isalpha() or max(text) > "\xff":
                         odd.append(w)
-                    else:
-                        codes[w] = self.young[w] = code
-                    continue
-                low = text.lower().encode()
-            else:
-                low = head.lower()
-            codes[w] = piece(low) + piece(mark) if mark else piece(low)
+                        continue
+                    low = text.lower().encode()
+                else:
+                    low = head.lower()
+                code = piece(low) + piece(mark) if mark else piece(low)
+                if len(w) > KEPT_LENGTH:
+                    self.passing.append(w)
+            young[w] = code
         if odd:
             encoded = self.tokenizer.encode_batch_fast(
                 [w.decode("utf-8") for w in odd], add_special_tokens=False
             )
             for w, c in zip(odd, encoded, strict=True):
-                codes[w] = code = array("I", c.ids).tobytes()
-                if code and len(w) <= KEPT_LENGTH:
-                    self.young[w] = code
-        return codes
+                young[w] = array("I", c.ids).tobytes()
+            self.passing += [w for w in odd if len(w) > KEPT_LENGTH]
+        return young
 
     def encode(self, text: str | None) -> np.ndarray:
         found = words(text)

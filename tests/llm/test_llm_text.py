@@ -311,7 +311,8 @@ def test_words_equal_the_library_while_generations_change(entries):
     library = Tokenizer.from_file(WORDS)
     library.no_truncation()
     library.no_padding()
-    more = ["Ünïcode, ÀÉÎ! º ª µ ß; naïve: ?", "a. .a ... . b,, Don't 'S x's", "ΑΒΓ İi dž é́ ﬁ", "ÿÞ×÷ 12a a12 ½"]
+    more = ["Ünïcode, ÀÉÎ! º ª µ ß; naïve: ?", "a. .a ... . b,, Don't 'S x's", "ΑΒΓ İi dž é́ ﬁ", "ÿÞ×÷ 12a a12 ½",
+            "stat*** Étés,%%% a.* A!!! ñ&&& *** #a $.$ x'!! x!!' don't%% b?!;:#$%&*., c*#!é é*é!"]
     texts = random_texts(600) + more * 3 + [chr(c) + " x" + chr(c) + "y" for c in range(1, 0x250)]
     for at in range(0, len(texts), 40):
         batch = [wavelet.words(t) for t in texts[at : at + 40]]
@@ -321,6 +322,23 @@ def test_words_equal_the_library_while_generations_change(entries):
             assert wavelet.ids_of(found, codes).tolist() == want, text
 
 
+def test_words_met_before_are_looked_up_whole_and_long_ones_go():
+    with open(WORDS, encoding="utf-8") as f:
+        codec = wavelet.WordCodec(f.read())
+    long = [b"x" * 1000, "é".encode() * 1000, b"a-" * 1000]
+    batch = [[b"Some", b"words,", b"don't", *long]]
+    codec.codes([[b"stat,%%%"]])
+    assert {b"stat", b",%%%"} <= set(codec.young)  # a run of marks is a piece
+    first = {w: codec.codes(batch)[w] for w in batch[0]}
+    assert all(first.values())
+    asked = []
+    codec._piece = asked.append
+    codec.tokenizer = None
+    again = codec.codes([[b"words,", b"don't", b"Some"]])
+    assert not asked and all(again[w] == first[w] for w in batch[0][:3])
+    assert max(map(len, codec.young)) <= wavelet.KEPT_LENGTH
+
+
 def test_caches_keep_no_long_keys_and_are_released():
     from liftwise.llm import batches
 
