@@ -87,3 +87,31 @@ def test_ranks_stay_spread_and_are_never_broadcast(spark, many_slices):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(parts) == 32 and max(r["count"] for r in parts) < 1.5 * 400_000 / 32
     assert "BroadcastHashJoin" in shape and "BuildRight" in shape and "BuildLeft" not in shape
+
+
+def test_tasks_of_large_shuffles_stay_small(spark):
+    """Partitions grow in number with the rows, not in size; few rows are merged to few tasks."""
+    from liftwise.plans.registry import QUERIES, query
+    from liftwise.session import PARTITIONS
+
+    kept = {key: spark.conf.get(key, None) for key in PARTITIONS}
+    for key in PARTITIONS:
+        spark.conf.unset(key)
+    seen = {}
+
+    def pairs(spark, folder):
+        seen.update({key: spark.conf.get(key, None) for key in PARTITIONS})
+        return spark.range(200_000).groupBy((F.col("id") % 100_000).alias("k")).agg(F.max("id").alias("v"))
+
+    try:
+        query("_pairs")(pairs)
+        shape = plan(QUERIES["_pairs"](spark, SMALLEST))
+        few = QUERIES["_pairs"](spark, SMALLEST).where("k < 10").rdd.getNumPartitions()
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+        QUERIES["_pairs"](spark, SMALLEST)
+    finally:
+        del QUERIES["_pairs"]
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert re.findall(r"Exchange hashpartitioning\([^)]*, (\d+)\)", shape) == ["1000"] and few <= 8
+    assert seen["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "8m"  # the session's own value holds
