@@ -10,6 +10,8 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +97,27 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def batch_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """words() or lower_words() of all texts of a batch: the distinct ones, the place of each word
+    among them, and how many words each text has. Among the distinct ones may be the empty word,
+    which has no place."""
+    texts = pc.fill_null(texts, "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = lists.flatten().dictionary_encode()
+    distinct, places = coded.dictionary, coded.indices.to_numpy()
+    sizes = np.diff(lists.offsets.to_numpy())
+    empty = pc.index(distinct, "").as_py()
+    if empty >= 0:  # beside white space at an end of a text
+        real = places != empty
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[real], minlength=len(sizes))
+        places = places[real]
+    return distinct, places, sizes
+
+
+def as_bytes(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 RAGGED = re.compile(f"[{WHITE}] ")
 

@@ -27,12 +27,13 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from liftwise.llm.batches import bounded, small_batches, words
+from liftwise.llm.batches import as_bytes, batch_words, bounded, small_batches, words
 from liftwise.llm.bpe import byte_letters
 from liftwise.session import scratch
 
@@ -45,6 +46,7 @@ KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
 # Marks that the tokenizer keeps together as one piece, whatever run of them follows a word.
 MARKS = b".,!?;:#$%&*"
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 class Plane:
@@ -114,10 +116,11 @@ class WaveletMatrix:
         for level, (plane, zeros) in enumerate(
             zip(reversed(self.planes), reversed(self.zeros), strict=True)
         ):
-            bits = plane.bits()
             back = np.empty_like(out)
-            back[~bits] = out[:zeros]
-            back[bits] = out[zeros:] | kind(1 << level)
+            bits = plane.bits()
+            # Places take less time than masks here.
+            back[np.flatnonzero(~bits)] = out[:zeros]
+            back[np.flatnonzero(bits)] = out[zeros:] | kind(1 << level)
             out = back
         return out
 
@@ -213,30 +216,44 @@ class WordCodec:
     def __reduce__(self):
         return (WordCodec, (self.spec, self.entries))
 
-    def _piece(self, piece: bytes) -> bytes:
+    def _merged(self, piece: bytes) -> bytes:
         """Ids of a run of lower-case Latin-1 letters, or of marks. Nothing of the normalizer
         or the splitting rules changes it, so the merges alone are asked."""
+        letters = piece.decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
+        """The same, kept like a word."""
         code = self.young.get(piece)
         if code is None:
             code = self.old.get(piece)
             if code is None:
-                letters = piece.decode("latin-1").translate(self.letters)
-                code = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+                code = self._merged(piece)
             if len(piece) <= KEPT_LENGTH:
                 self.young[piece] = code
         return code
 
+    def _turn(self) -> None:
+        for w in self.passing:
+            self.young.pop(w, None)
+        self.passing = []
+        if len(self.young) >= self.entries:
+            self.old, self.young = self.young, {}
+
+    def pieces(self, found: list[bytes]) -> list[bytes]:
+        """The ids of runs of lower-case letters and of marks."""
+        self._turn()
+        get, piece = self.young.get, self._piece
+        return [get(p) or piece(p) for p in found]
+
     def codes(self, found: list[list[bytes]]) -> dict[bytes, bytes]:
         """The ids of all words of a batch, until the next one is asked. Words met before are
         looked up whole. Of a new one, letters of Latin-1 and a run of marks after them are pieces
         that the tokenizer splits a word into anyway, in lower case; any other word is encoded
         as it is, in one call for the batch."""
-        for w in self.passing:
-            self.young.pop(w, None)
-        if len(self.young) >= self.entries:
-            self.old, self.young = self.young, {}
-        young, old, piece = self.young, self.old, self._piece
-        odd, self.passing = [], []
+        self._turn()
+        young, old, piece, merged = self.young, self.old, self._piece, self._merged
+        odd: list[bytes] = []
         for w in set().union(*found).difference(young):
             code = old.get(w)
             if code is None:
@@ -250,7 +267,10 @@ class WordCodec:
                     low = text.lower().encode()
                 else:
                     low = head.lower()
-                code = piece(low) + piece(mark) if mark else piece(low)
+                if mark:
+                    code = piece(low) + piece(mark)
+                else:  # a word in lower case is its own piece, and was not met before
+                    code = piece(low) if low != w else merged(w)
                 if len(w) > KEPT_LENGTH:
                     self.passing.append(w)
             young[w] = code
@@ -272,6 +292,42 @@ def ids_of(found: list[bytes], codes: dict[bytes, bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(codes.__getitem__, found)), "<u4")
 
 
+def picked(flat: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs at `places` of the runs that lie in `flat` one after the other, and their sizes."""
+    many = sizes[places]
+    upto = np.cumsum(many)
+    at = (np.cumsum(sizes) - sizes)[places] - upto + many
+    return flat[np.repeat(at, many) + np.arange(len(at) and upto[-1])], many
+
+
+def batch_ids(texts: pa.Array, codec: WordCodec) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, each text with its END, and how many ids each has. Words
+    of ASCII letters and marks after them are split into these pieces here, and the codec is
+    asked once for each distinct piece of the batch, and for each distinct word of any other kind."""
+    distinct, places, sizes = batch_words(texts)
+    heads = pc.ascii_rtrim(distinct, MARKS.decode())
+    plain = pc.ascii_is_alpha(heads)
+    lower, marks = pc.ascii_lower(heads.filter(plain)), pc.ascii_ltrim(distinct.filter(plain), LETTERS)
+    pieces = pa.concat_arrays([lower, marks]).dictionary_encode()
+    parts = codec.pieces(as_bytes(pieces.dictionary))
+    odd = as_bytes(distinct.filter(pc.invert(plain)))
+    codes = codec.codes([odd])
+    # A word is two runs: its head and its marks, or its ids and none, as END is.
+    none = len(parts)
+    parts += [b"", *map(codes.__getitem__, odd), array("I", [END]).tobytes()]
+    halves = np.full((len(distinct) + 1, 2), none)
+    is_plain = np.append(plain.to_numpy(zero_copy_only=False), False)
+    halves[is_plain] = pieces.indices.to_numpy().reshape(2, -1).T
+    halves[~is_plain, 0] = np.arange(none + 1, len(parts))
+    flat = np.frombuffer(b"".join(parts), "<u4")
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    flat, lengths = picked(flat, lengths, halves.ravel())
+    ends = np.cumsum(sizes)
+    ids, many = picked(flat, lengths.reshape(-1, 2).sum(1), np.insert(places, ends, len(distinct)))
+    ends += np.arange(len(sizes))
+    return ids, np.diff(np.cumsum(many)[ends], prepend=0)
+
+
 SHARDS = "part int, shard int, n_tokens long, n_docs long, body binary"
 
 
@@ -286,7 +342,6 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, tokens: int = SHARD
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
         ids, names, lengths, held = [], [], [], 0
-        end = np.array([END], "<u4")
 
         def row():
             whole = np.concatenate(ids)
@@ -297,17 +352,18 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, tokens: int = SHARD
                   "n_docs": len(names), "body": body}], schema)
 
         for batch in batches:
-            texts = [words(t) for t in batch.column(1).to_pylist()]
-            codes = codec.value.codes(texts)
-            for name, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                found = ids_of(text, codes)
-                ids += [found, end]
+            flat, sizes = batch_ids(batch.column(1), codec.value)
+            at = end = 0
+            for name, size in zip(batch.column(0).to_pylist(), sizes.tolist(), strict=True):
                 names.append(name)
-                lengths.append(len(found) + 1)
-                held += len(found) + 1
+                lengths.append(size)
+                held += size
+                end += size
                 if held >= tokens:
+                    ids.append(flat[at:end])
                     yield row()
-                    ids, names, lengths, held, shard = [], [], [], 0, shard + 1
+                    ids, names, lengths, held, shard, at = [], [], [], 0, shard + 1, end
+            ids.append(flat[at:])
         if names:
             yield row()
 

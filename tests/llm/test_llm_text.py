@@ -7,6 +7,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -322,6 +323,30 @@ def test_words_equal_the_library_while_generations_change(entries):
             assert wavelet.ids_of(found, codes).tolist() == want, text
 
 
+def test_a_batch_asks_the_codec_once_for_each_piece():
+    """Ids of a batch equal the library's, however words are split into pieces; a word of letters
+    and marks costs no look-up of its own."""
+    with open(WORDS, encoding="utf-8") as f:
+        codec = wavelet.WordCodec(f.read(), 50)
+    library = Tokenizer.from_file(WORDS)
+    library.no_truncation()
+    library.no_padding()
+    texts = [None, "", " ", "  a b\t", "\x1ca\x1db\x85c\xa0d\u3000e", "a\x0bb\x0cc\rd\te\nf", "x\x00y ... .a a.",
+             "<|endoftext|> DON'T don't, Ünïcode, ÀÉÎ! stat*** c*#! 12a", "x" * 1000 + "!!!"]
+    texts += random_texts(200)
+    for at in range(0, len(texts), 30):
+        some = texts[at : at + 30]
+        ids, sizes = wavelet.batch_ids(pa.array(some, pa.string()), codec)
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, wavelet.END] for t in some]
+        assert np.split(ids, np.cumsum(sizes)[:-1])[0].tolist() == want[0]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+    assert wavelet.batch_ids(pa.array([], pa.string()), codec)[0].tolist() == []
+    asked = []
+    merged, codec._merged = codec._merged, lambda piece: asked.append(piece) or merged(piece)
+    wavelet.batch_ids(pa.array(["Zebu zebu, ZEBU. Zebu; zebu gnu,", "gnu. zebu"]), codec)
+    assert len(asked) == len(set(asked)) <= 6  # zebu, gnu, three marks and none
+
+
 def test_words_met_before_are_looked_up_whole_and_long_ones_go():
     with open(WORDS, encoding="utf-8") as f:
         codec = wavelet.WordCodec(f.read())
