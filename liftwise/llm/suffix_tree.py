@@ -12,7 +12,9 @@ Both floors are counts, so the model grows with the corpus. It is a stored table
 under 64-bit keys. An n-gram's weight is what its last word gains in it over the shorter
 suffix, and what backing off from it costs the word after it; a text's score is the sum of
 its words' base scores and its n-grams' weights. Levels are built and texts are scored by
-shuffle joins on keys. Broadcast are caches of bounded size, which change no result: words of
+shuffle joins on keys. N-grams travel in packed rows: those that a task has counted or met for
+one of the buckets into which keys are dealt, about BUCKET_TOKENS tokens' worth in each, and a
+bucket is counted, or joined with its weights, at once. Broadcast are caches of bounded size, which change no result: words of
 at least HEAD_SHARE of all tokens, n-grams of at least PAIR_SHARE with their weights, and
 bitmaps of BITS bits that only let through too much. Contexts and suffixes of at least
 CONTEXT_SHARE of all tokens, so the hot ones, are looked up in a broadcast too.
@@ -26,17 +28,19 @@ are rows of their own. Only doc_id and text are read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cached_property, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from liftwise.llm.batches import Cache, lower_words, mix, small_batches, stored
+from liftwise.llm.batches import as_bytes, batch_words, mix, small_batches, stored
 
 DEPTH = 3
 HEAD_SHARE = 2.0**-21
@@ -48,15 +52,22 @@ DISCOUNT = 0.5
 BITS = 1 << 25
 END = "\n"  # no word holds it
 FLUSH = 300_000
-# N-grams that a worker holds before it hands them on, rows that it hands on at once, and words
-# whose hash it keeps: what a task holds does not depend on how much it reads.
+# N-grams that a worker holds before it hands them on, and n-grams that it hands on at once:
+# what a task holds does not depend on how much it reads.
 HELD_GRAMS = 500_000
 SENT_ROWS = 50_000
-KEPT_HASHES = 100_000
+# Tokens for each bucket, and buckets over which the next words of one context are spread.
+BUCKET_TOKENS = 500_000
+SPREAD = 64
 FOLDS, HELD = 7, 2
 
-_hash = Cache(xxhash.xxh64_intdigest, KEPT_HASHES)
-END_HASH = np.uint64(xxhash.xxh64_intdigest(END))
+
+def _hash(word: bytes) -> int:
+    """As Spark's xxhash64 has it, but unsigned."""
+    return xxhash.xxh64_intdigest(word, 42)
+
+
+END_HASH = np.uint64(_hash(END.encode()))
 
 
 def held_out() -> Column:
@@ -69,20 +80,24 @@ def word_counts(train: DataFrame) -> DataFrame:
     schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        seen: Counter[str] = Counter()
 
         def rows():
             return pa.RecordBatch.from_arrays(
-                [pa.array([w.decode("utf-8", "replace") for w in seen], pa.string()),
-                 pa.array(list(seen.values()), pa.int64())], schema=schema)
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                schema=schema,
+            )
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(lower_words(text))
-                if len(seen) > FLUSH:
-                    yield rows()
-                    seen.clear()
-            seen[END.encode()] += batch.num_rows
+            distinct, places, _ = batch_words(batch.column(0), lower=True)
+            times = np.bincount(places, minlength=len(distinct)).tolist()
+            for word, n in zip(distinct.to_numpy(zero_copy_only=False), times, strict=True):
+                if n:
+                    seen[word] += n
+            seen[END] += batch.num_rows
+            if len(seen) > FLUSH:
+                yield rows()
+                seen.clear()
         yield rows()
 
     partial = train.select("text").mapInArrow(count, "word string, c long")
@@ -90,19 +105,14 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hash.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(_hash, words), np.uint64, len(words))
 
 
-def token_hashes(texts: Iterable[str | None]) -> np.ndarray:
+def token_hashes(texts: pa.Array) -> np.ndarray:
     """Word hashes of all texts in a row, each text with its end."""
-    end = END.encode()
-    return np.concatenate(
-        [np.zeros(0, np.uint64), *(word_hashes([*lower_words(t), end]) for t in texts)]
-    )
-
-
-def first_keys(hashes: np.ndarray) -> np.ndarray:
-    return mix(hashes + np.uint64(0x9E3779B97F4A7C15))
+    distinct, places, sizes = batch_words(texts, lower=True)
+    hashes = np.append(word_hashes(as_bytes(distinct)), END_HASH)
+    return hashes[np.insert(places, np.cumsum(sizes), len(distinct))]
 
 
 def joined_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
@@ -112,8 +122,8 @@ def joined_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
 
 def grams(hashes: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For n = 1 to `longest`, the keys of the n-grams from each place on, and which of them
-    lie in one text: an end is an n-gram's last word only."""
-    key, inside, ends = first_keys(hashes), np.ones(len(hashes), bool), hashes == END_HASH
+    lie in one text: an end is an n-gram's last word only. A word's hash is its key."""
+    key, inside, ends = hashes, np.ones(len(hashes), bool), hashes == END_HASH
     out = [(key, inside)]
     for n in range(1, longest):
         size = max(len(key) - 1, 0)
@@ -150,14 +160,11 @@ class Tree:
     def __init__(self, head: dict[str, int], counts: np.ndarray, total: int, distinct: int):
         self.head = head
         self.total, self.distinct = total, distinct
+        self.buckets = 1 + total // BUCKET_TOKENS
         self.base = np.log10((counts + 1) / (total + distinct + 1))
         self.keys, self.weights, self.backs = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
         self.bits = np.zeros(BITS // 8, np.uint8)
 
-    @cached_property
-    def places(self) -> dict[bytes, int]:
-        return {w.encode(): i for w, i in self.head.items()}
-
     @cached_property
     def hashes(self) -> np.ndarray:
         """By head word; the last one is for words that are none."""
@@ -190,6 +197,40 @@ def _find(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(ordered[at] == values, at, -1)
 
 
+def changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
+def homes(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The upper half of a key by which n-grams are dealt to be counted: a context's are found
+    in SPREAD places, so that many lie together and a very frequent context fills no task."""
+    near = mix(context + (suffix & np.uint64(SPREAD - 1)))
+    return near & ~np.uint64((1 << 32) - 1)
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """In ascending order as the keys are; `bucket_column` is the same in Spark."""
+    return ((keys >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int32)
+
+
+def bucket_column(key: str, buckets: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(key, 33) * F.lit(buckets).cast("long"), 31).cast("int")
+
+
+def packed(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Ascending buckets, and for each its values in lists."""
+    first = np.flatnonzero(changes(bucket))
+    ends = pa.array(np.append(first, len(bucket)).astype(np.int32))
+    return [pa.array(bucket[first]), *(pa.ListArray.from_arrays(ends, pa.array(c)) for c in columns)]
+
+
+def unpacked(lists: pa.ChunkedArray) -> np.ndarray:
+    return lists.combine_chunks().flatten().to_numpy()
+
+
 GRAMS = pa.schema([("ctx", pa.int64()), ("suf", pa.int64()), ("c", pa.int64())])
 
 
@@ -197,22 +238,26 @@ def counted_grams(
     batches: Iterator[pa.RecordBatch], n: int, bits: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
     """(ctx, suf, c) of the n-grams of texts whose two sides `bits` lets through, counted among
-    about HELD_GRAMS of them at a time and handed on in batches of at most SENT_ROWS."""
+    about HELD_GRAMS of them at a time and handed on in the order of their homes, in batches of at
+    most SENT_ROWS."""
     found, held = [], 0
 
     def rows():
         context, suffix = (np.concatenate(f) for f in zip(*found, strict=True))
         found.clear()
-        _, first, times = np.unique(
-            joined_keys(context, suffix), return_index=True, return_counts=True
+        order = np.argsort(
+            homes(context, suffix) | joined_keys(context, suffix) & np.uint64((1 << 32) - 1)
         )
+        context, suffix = context[order], suffix[order]
+        first = np.flatnonzero(changes(context) | changes(suffix))
+        times = np.diff(first, append=len(context))
         columns = [context[first].view(np.int64), suffix[first].view(np.int64), times]
         for at in range(0, len(times), SENT_ROWS):
             some = [pa.array(c[at : at + SENT_ROWS], pa.int64()) for c in columns]
             yield pa.RecordBatch.from_arrays(some, schema=GRAMS)
 
     for batch in batches:
-        *_, (keys, _), (_, inside) = grams(token_hashes(batch.column(0).to_pylist()), n)
+        *_, (keys, _), (_, inside) = grams(token_hashes(batch.column(0)), n)
         often = _passes(bits, keys)
         good = np.flatnonzero(inside & often[:-1] & often[1:])
         found.append((keys[good], keys[good + 1]))
@@ -224,22 +269,34 @@ def counted_grams(
         yield from rows()
 
 
-def gram_counts(train: DataFrame, n: int, shorter: DataFrame) -> DataFrame:
+def gram_counts(train: DataFrame, n: int, shorter: DataFrame, buckets: int) -> DataFrame:
     """(ctx, suf, c, key) of the n-grams seen MIN_COUNT times: keys of all words but the last
     and of all but the first. Both are among `shorter`, the (n-1)-grams seen so often."""
     shared = train.sparkSession.sparkContext.broadcast(bitmap(shorter))
+    names = ["bucket", "ctx", "suf", "c"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return counted_grams(batches, n, shared.value)
-
-    @F.pandas_udf("long")
-    def key(context: pd.Series, suffix: pd.Series) -> pd.Series:
-        sides = (s.to_numpy(np.int64).view(np.uint64) for s in (context, suffix))
-        return pd.Series(joined_keys(*sides).view(np.int64))
-
-    partial = train.select("text").mapInArrow(count, "ctx long, suf long, c long")
-    often = partial.groupBy("ctx", "suf").agg(F.sum("c").alias("c")).where(F.col("c") >= MIN_COUNT)
-    return stored(often.withColumn("key", key("ctx", "suf")), "grams")
+        for some in counted_grams(batches, n, shared.value):
+            ctx, suf, c = (some.column(k).to_numpy() for k in range(3))
+            bucket = bucket_of(homes(ctx.view(np.uint64), suf.view(np.uint64)), buckets)
+            yield pa.RecordBatch.from_arrays(packed(bucket, ctx, suf, c.astype(np.int32)), names)
+
+    def merge(bucket: pa.Table) -> pa.Table:
+        ctx, suf = (unpacked(bucket[k]).view(np.uint64) for k in ("ctx", "suf"))
+        key = joined_keys(ctx, suf)
+        order = np.argsort(key)
+        ctx, suf, key = ctx[order], suf[order], key[order]
+        first = np.flatnonzero(changes(key) | changes(ctx) | changes(suf))
+        times = np.add.reduceat(unpacked(bucket["c"])[order].astype(np.int64), first)
+        first, times = first[times >= MIN_COUNT], times[times >= MIN_COUNT]
+        out = [*(k[first].view(np.int64) for k in (ctx, suf)), times, key[first].view(np.int64)]
+        return pa.table(out, names=["ctx", "suf", "c", "key"])
+
+    partial = train.select("text").mapInArrow(
+        count, "bucket int, ctx array<long>, suf array<long>, c array<int>"
+    )
+    often = partial.groupBy("bucket").applyInArrow(merge, "ctx long, suf long, c long, key long")
+    return stored(often, "grams")
 
 
 def looked_up(rows: DataFrame, on: str, table: DataFrame, hot: float, how: str = "inner") -> DataFrame:
@@ -294,17 +351,13 @@ def fit_tables(train: DataFrame, counts: DataFrame) -> tuple[Tree, DataFrame]:
         {w: i for i, w in enumerate(head["word"])}, head["c"].to_numpy(np.int64), total, distinct
     )
 
-    @F.pandas_udf("long")
-    def key(words: pd.Series) -> pd.Series:
-        return pd.Series(first_keys(word_hashes([w.encode() for w in words])).view(np.int64))
-
     log = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
     below = stored(
-        counts.where(F.col("c") >= MIN_COUNT).select(key("word").alias("key"), "c", log.alias("lp")), "words"
+        counts.where(F.col("c") >= MIN_COUNT).select(F.xxhash64("word").alias("key"), "c", log.alias("lp")), "words"
     )
     hot, parts = max(1.0, CONTEXT_SHARE * total), []
     for n in range(2, DEPTH + 2):
-        below, *weights = fit_level(gram_counts(train, n, below), below, hot)
+        below, *weights = fit_level(gram_counts(train, n, below, tree.buckets), below, hot)
         parts += weights
     weights = stored(reduce(DataFrame.unionByName, parts), "weights")
     cached = weights.where(F.col("c") >= PAIR_SHARE * total).drop("c").toPandas()
@@ -319,12 +372,6 @@ def fit(train: DataFrame, counts: DataFrame) -> Tree:
     return fit_tables(train, counts)[0]
 
 
-SCORED = (
-    "n_tokens long, n_head long, head_base double, head_score double, "
-    "tail array<struct<word: string, tf: long>>, rest array<long>"
-)
-
-
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
@@ -334,70 +381,106 @@ def score_documents(docs: DataFrame) -> DataFrame:
     counts = stored(word_counts(train), "word-counts")
     tree, weights = fit_tables(train, counts)
     shared = spark.sparkContext.broadcast(tree)
+    buckets = tree.buckets
+    floor = float(np.log10(1 / (tree.total + tree.distinct + 1)))
+
+    kind = docs.schema["doc_id"].dataType
+    numbers = StructType.fromDDL("row long, n_tokens long, n_known long, base double, weight double")
+    sums = pa.schema([("doc_id", to_arrow_type(kind)), ("row", pa.int64()), ("n_tokens", pa.int64()),
+                      ("n_known", pa.int64()), ("base", pa.float64()), ("weight", pa.float64())])
+    lists = [pa.field(k, pa.list_(pa.int64())) for k in ("rows", "keys")]
+    rows = pa.schema([pa.field("bucket", pa.int32()), *sums, *lists])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each text its own row, with the sums over its head words and cached n-grams and
+        tail words as if none was known; and the keys still to be looked up, with their rows."""
+        tree, held, size = shared.value, [], 0
+        get = tree.head.get
+
+        def looked_for():
+            of, keys = (np.concatenate(h) for h in zip(*held, strict=True))
+            held.clear()
+            bucket = bucket_of(keys, buckets)
+            order = np.argsort(bucket, kind="stable")
+            for at in range(0, len(order), SENT_ROWS):
+                some = order[at : at + SENT_ROWS]
+                dealt, *found = packed(bucket[some], of[some], keys[some].view(np.int64))
+                none = [pa.nulls(len(dealt), f.type) for f in sums]
+                yield pa.RecordBatch.from_arrays([dealt, *none, *found], schema=rows)
 
-    @F.pandas_udf(SCORED)
-    def score(texts: pd.Series) -> pd.DataFrame:
-        tree, rows, hashes = shared.value, [], []
-        get, end = tree.places.get, END.encode()
-        for t in texts:
-            words = [*lower_words(t), end]
-            hashes.append(word_hashes(words))
-            ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        for batch in batches:
+            distinct, places, sizes = batch_words(batch.column(2), lower=True)
+            words = as_bytes(distinct)
+            hashes = np.append(word_hashes(words), END_HASH)
+            ids = np.fromiter((get(w, -1) for w in [*distinct.to_numpy(zero_copy_only=False), END]),
+                              np.int64, len(words) + 1)
+            places = np.insert(places, np.cumsum(sizes), len(words))
+            sizes += 1
+            hashes, ids = hashes[places], ids[places]
+            at_row = np.repeat(np.arange(len(sizes)), sizes)
             known = ids >= 0
-            rare = Counter(words[i] for i in np.flatnonzero(~known))
-            rows.append((len(words), int(known.sum()), float(tree.base[ids[known]].sum()),
-                         [{"word": w.decode(), "tf": n} for w, n in rare.items()]))
-        out = pd.DataFrame(rows, columns=["n_tokens", "n_head", "head_base", "tail"])
-        row = np.repeat(np.arange(len(rows)), out["n_tokens"].to_numpy(np.int64))
-        sums, rest = np.zeros(len(rows)), [[] for _ in rows]
-        every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        for keys, inside in grams(every, DEPTH + 1):
-            at = np.flatnonzero(inside & _passes(tree.bits, keys))
-            some, where = np.unique(keys[at], return_inverse=True)
-            place = _find(tree.keys, some)[where]
-            here = place >= 0
-            sums += np.bincount(row[at[here]], tree.weights[place[here]], len(rows))
-            left = at[~here]
-            cuts = np.searchsorted(row[left], np.arange(1, len(rows)))
-            for list_, part in zip(rest, np.split(keys[left].view(np.int64), cuts), strict=False):
-                list_.append(part)
-        out["head_score"] = out["head_base"] + sums
-        out["rest"] = [np.concatenate(r) for r in rest]
-        return out[["n_tokens", "n_head", "head_base", "head_score", "tail", "rest"]]
-
-    scored = stored(
-        docs.select("doc_id", F.monotonically_increasing_id().alias("row"), score("text").alias("s"))
-        .select("doc_id", "row", "s.*"),
-        "scored",
-    )
-    rare = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.tf")
-    floor = float(tree.total + tree.distinct + 1)
-    few = counts.where(F.col("c") < max(1.0, HEAD_SHARE * tree.total))
-    log = F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(floor))
-    known = F.when(F.col("c") > 0, F.col("tf")).otherwise(0)
-    tails = rare.join(few, "word", "left").select(
-        "row", log.alias("base"), known.alias("known"), F.lit(0.0).alias("weight")
+            count = np.bincount(at_row, known, len(sizes)).astype(np.int64)
+            base = np.bincount(at_row, np.append(tree.base, floor)[ids], len(sizes))
+            weight = np.zeros(len(sizes))
+            row = batch.column(1).to_numpy()
+            for n, (keys, inside) in enumerate(grams(hashes, DEPTH + 1), 1):
+                at = np.flatnonzero(inside & _passes(tree.bits, keys))
+                some, where = np.unique(keys[at], return_inverse=True)
+                place = _find(tree.keys, some)[where]
+                here = place >= 0
+                weight += np.bincount(at_row[at[here]], tree.weights[place[here]], len(sizes))
+                left = at[~here]
+                if n == 1:
+                    left = np.union1d(left, np.flatnonzero(~known))  # tail words
+                held.append((row[at_row[left]], keys[left]))
+                size += len(left)
+            own = [pa.array((row % buckets).astype(np.int32)), batch.column(0), batch.column(1),
+                   *map(pa.array, (sizes, count, base, weight)),
+                   *(pa.nulls(len(sizes), f.type) for f in lists)]
+            yield pa.RecordBatch.from_arrays(own, schema=rows)
+            if size > HELD_GRAMS:
+                yield from looked_for()
+                size = 0
+        if held:
+            yield from looked_for()
+
+    def add(found: pa.Table, known: pa.Table) -> pa.Table:
+        """The rows of texts as they are, and what their keys in this bucket add to them."""
+        own = found.filter(pc.is_valid(found["n_tokens"])).select(sums.names)
+        met = found.filter(pc.is_valid(found["keys"]))
+        of, keys = unpacked(met["rows"]), unpacked(met["keys"])
+        ordered, where = np.unique(known["key"].to_numpy(), return_inverse=True)
+        at = _find(ordered, keys)
+        some, to = np.unique(of[at >= 0], return_inverse=True)
+
+        def added(name: str) -> np.ndarray:
+            values = np.bincount(where, known[name].to_numpy(), len(ordered))
+            return np.bincount(to, values[at[at >= 0]], len(some))
+
+        more = [pa.nulls(len(some), sums.field("doc_id").type), some, np.zeros(len(some), np.int64),
+                added("n_known").astype(np.int64), added("base"), added("weight")]
+        return pa.concat_tables([own.cast(sums), pa.table(more, schema=sums)])
+
+    names = StructType([StructField("doc_id", kind), *numbers])
+    packs = StructType.fromDDL("rows array<long>, keys array<long>")
+    found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
+        read, StructType([StructField("bucket", IntegerType()), *names, *packs])
     )
+    few = counts.where(F.col("c") < max(1.0, HEAD_SHARE * tree.total))
     others = weights.where(F.col("c") < PAIR_SHARE * tree.total)
-    rest = scored.select("row", F.explode("rest").alias("key")).join(others, "key")
-    weight = (F.col("delta") + F.col("back")).alias("weight")
-    tails = (
-        tails.unionByName(rest.select("row", F.lit(0.0).alias("base"), F.lit(0).alias("known"), weight))
-        .groupBy("row")
-        .agg(
-            F.sum("base").alias("tail_base"),
-            F.sum("known").alias("n_tail"),
-            F.sum("weight").alias("rest_score"),
-        )
-        .withColumnRenamed("row", "of_row")
-    )
-    tail, grown = F.coalesce("tail_base", F.lit(0.0)), F.coalesce("rest_score", F.lit(0.0))
-    return scored.join(tails, scored["row"] == tails["of_row"], "left").select(
+    words = few.select(F.xxhash64("word").alias("key"), F.lit(1).alias("n_known"),
+                       F.log10(F.col("c") + 1.0).alias("base"), F.lit(0.0).alias("weight"))
+    known = others.select("key", F.lit(0).alias("n_known"), F.lit(0.0).alias("base"),
+                          (F.col("delta") + F.col("back")).alias("weight")).unionByName(words)
+    known = known.withColumn("bucket", bucket_column("key", buckets))
+    scored = found.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(add, names)
+    totals = [F.sum(k).alias(k) for k in ("n_tokens", "n_known", "base", "weight")]
+    return scored.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *totals).select(
         "doc_id",
         held_out().alias("held_out"),
         "n_tokens",
-        (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(int(tree.total)).cast("long").alias("train_tokens"),
-        (F.col("head_base") + tail).alias("base_score"),
-        (F.col("head_score") + tail + grown).alias("score"),
+        F.col("base").alias("base_score"),
+        (F.col("base") + F.col("weight")).alias("score"),
     )

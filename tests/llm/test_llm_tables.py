@@ -198,6 +198,28 @@ def test_counted_grams_come_in_small_batches(monkeypatch):
     assert sorted(whole.values()) == sorted(want.values())
 
 
+def test_scores_do_not_depend_on_the_buckets_of_ngrams(spark, monkeypatch):
+    """N-grams are dealt into buckets, counted and looked up there; with many buckets, one context
+    before every other word and all words looked up, scores stay the same."""
+    r = random.Random(31)
+    rows = [(i, " ".join(f"the {r.choice('abcdefgh')}{r.choice('ij')}" for _ in range(20)), "x") for i in range(120)]
+    rows += [(200, None, "x"), (201, " ", "x"), (None, "the ai", "x"), (1, "the never", "x")]
+    for name in ("HEAD_SHARE", "PAIR_SHARE"):
+        monkeypatch.setattr(suffix_tree, name, 0.5)
+    found = []
+    for tokens in (500_000, 40):
+        monkeypatch.setattr(suffix_tree, "BUCKET_TOKENS", tokens)
+        monkeypatch.setattr(suffix_tree, "HELD_GRAMS", tokens)
+        got = suffix_tree.score_documents(frame(spark, rows)).collect()
+        found.append(sorted((str(x["doc_id"]), x["n_tokens"], x["n_known"], round(x["base_score"], 6),
+                             round(x["score"], 6)) for x in got))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    keys = np.random.default_rng(3).integers(0, 1 << 63, 1000, np.uint64) * np.uint64(2) + np.uint64(1)
+    table = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long")
+    same = table.select(suffix_tree.bucket_column("key", 77).alias("b")).collect()
+    assert [x["b"] for x in same] == suffix_tree.bucket_of(keys, 77).tolist()
+
+
 def test_next_word_probabilities_sum_to_one(spark, monkeypatch):
     for name in ("HEAD_SHARE", "PAIR_SHARE", "CONTEXT_SHARE"):
         monkeypatch.setattr(suffix_tree, name, 0.0)
