@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from liftwise.llm.batches import as_bytes, batch_words, mix, small_batches, stored
 
@@ -59,6 +59,8 @@ SENT_ROWS = 50_000
 # Tokens for each bucket, and buckets over which the next words of one context are spread.
 BUCKET_TOKENS = 500_000
 SPREAD = 64
+# Texts whose sums are added up together, as a power of two.
+BLOCK = 12
 FOLDS, HELD = 7, 2
 
 
@@ -154,8 +156,9 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """What is broadcast: head words with their base log10, and the cached n-grams' sorted
-    keys with their weights and the part of them that is the cost of backing off."""
+    """What is broadcast: head words with their base log10, the cached n-grams' sorted keys with
+    their weights and the part of them that is the cost of backing off, and bitmaps of the keys
+    with a weight and of the n-grams of each length seen MIN_COUNT times."""
 
     def __init__(self, head: dict[str, int], counts: np.ndarray, total: int, distinct: int):
         self.head = head
@@ -164,6 +167,7 @@ class Tree:
         self.base = np.log10((counts + 1) / (total + distinct + 1))
         self.keys, self.weights, self.backs = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
         self.bits = np.zeros(BITS // 8, np.uint8)
+        self.levels: list[np.ndarray] = []
 
     @cached_property
     def hashes(self) -> np.ndarray:
@@ -204,11 +208,15 @@ def changes(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def homes(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-    """The upper half of a key by which n-grams are dealt to be counted: a context's are found
-    in SPREAD places, so that many lie together and a very frequent context fills no task."""
-    near = mix(context + (suffix & np.uint64(SPREAD - 1)))
-    return near & ~np.uint64((1 << 32) - 1)
+NONE = np.zeros(0, np.uint64)
+
+
+def homes(context: np.ndarray, suffix: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """The upper half of a key by which n-grams are dealt to be counted: those of a context lie
+    together, as equal values next to each other take little room, but those of the contexts in
+    `spread` lie in SPREAD places, so that a very frequent context fills no task."""
+    salt = np.where(_find(spread, context) >= 0, suffix & np.uint64(SPREAD - 1), np.uint64(0))
+    return mix(context + salt) & ~np.uint64((1 << 32) - 1)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -224,7 +232,7 @@ def packed(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
     """Ascending buckets, and for each its values in lists."""
     first = np.flatnonzero(changes(bucket))
     ends = pa.array(np.append(first, len(bucket)).astype(np.int32))
-    return [pa.array(bucket[first]), *(pa.ListArray.from_arrays(ends, pa.array(c)) for c in columns)]
+    return [pa.array(bucket[first]), *(pa.ListArray.from_arrays(ends, c if isinstance(c, pa.Array) else pa.array(c)) for c in columns)]
 
 
 def unpacked(lists: pa.ChunkedArray) -> np.ndarray:
@@ -235,7 +243,7 @@ GRAMS = pa.schema([("ctx", pa.int64()), ("suf", pa.int64()), ("c", pa.int64())])
 
 
 def counted_grams(
-    batches: Iterator[pa.RecordBatch], n: int, bits: np.ndarray
+    batches: Iterator[pa.RecordBatch], n: int, bits: np.ndarray, spread: np.ndarray = NONE
 ) -> Iterator[pa.RecordBatch]:
     """(ctx, suf, c) of the n-grams of texts whose two sides `bits` lets through, counted among
     about HELD_GRAMS of them at a time and handed on in the order of their homes, in batches of at
@@ -246,7 +254,7 @@ def counted_grams(
         context, suffix = (np.concatenate(f) for f in zip(*found, strict=True))
         found.clear()
         order = np.argsort(
-            homes(context, suffix) | joined_keys(context, suffix) & np.uint64((1 << 32) - 1)
+            homes(context, suffix, spread) | joined_keys(context, suffix) & np.uint64((1 << 32) - 1)
         )
         context, suffix = context[order], suffix[order]
         first = np.flatnonzero(changes(context) | changes(suffix))
@@ -269,16 +277,21 @@ def counted_grams(
         yield from rows()
 
 
-def gram_counts(train: DataFrame, n: int, shorter: DataFrame, buckets: int) -> DataFrame:
+def gram_counts(train: DataFrame, n: int, shorter: DataFrame, tree: Tree, hot: float) -> DataFrame:
     """(ctx, suf, c, key) of the n-grams seen MIN_COUNT times: keys of all words but the last
     and of all but the first. Both are among `shorter`, the (n-1)-grams seen so often."""
-    shared = train.sparkSession.sparkContext.broadcast(bitmap(shorter))
+    buckets = tree.buckets
+    # At most 1 / (10 * CONTEXT_SHARE) contexts; the others fit into a few buckets' room each.
+    frequent = shorter.where(F.col("c") >= 10 * hot).select("key").toPandas()["key"]
+    frequent = np.sort(frequent.to_numpy(np.int64).view(np.uint64))
+    shared = train.sparkSession.sparkContext.broadcast((tree.levels[n - 2], frequent))
     names = ["bucket", "ctx", "suf", "c"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in counted_grams(batches, n, shared.value):
+        bits, spread = shared.value
+        for some in counted_grams(batches, n, bits, spread):
             ctx, suf, c = (some.column(k).to_numpy() for k in range(3))
-            bucket = bucket_of(homes(ctx.view(np.uint64), suf.view(np.uint64)), buckets)
+            bucket = bucket_of(homes(ctx.view(np.uint64), suf.view(np.uint64), spread), buckets)
             yield pa.RecordBatch.from_arrays(packed(bucket, ctx, suf, c.astype(np.int32)), names)
 
     def merge(bucket: pa.Table) -> pa.Table:
@@ -357,8 +370,10 @@ def fit_tables(train: DataFrame, counts: DataFrame) -> tuple[Tree, DataFrame]:
     )
     hot, parts = max(1.0, CONTEXT_SHARE * total), []
     for n in range(2, DEPTH + 2):
-        below, *weights = fit_level(gram_counts(train, n, below, tree.buckets), below, hot)
+        tree.levels.append(bitmap(below))
+        below, *weights = fit_level(gram_counts(train, n, below, tree, hot), below, hot)
         parts += weights
+    tree.levels.append(bitmap(below))
     weights = stored(reduce(DataFrame.unionByName, parts), "weights")
     cached = weights.where(F.col("c") >= PAIR_SHARE * total).drop("c").toPandas()
     tree.keys, at = np.unique(cached["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
@@ -423,8 +438,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
             base = np.bincount(at_row, np.append(tree.base, floor)[ids], len(sizes))
             weight = np.zeros(len(sizes))
             row = batch.column(1).to_numpy()
+            often = np.ones(len(hashes) + 1, bool)
             for n, (keys, inside) in enumerate(grams(hashes, DEPTH + 1), 1):
-                at = np.flatnonzero(inside & _passes(tree.bits, keys))
+                # What is seen so often has parts seen so often.
+                often = often[:-1] & often[1:] & inside & _passes(tree.levels[n - 1], keys)
+                at = np.flatnonzero(often & _passes(tree.bits, keys))
                 some, where = np.unique(keys[at], return_inverse=True)
                 place = _find(tree.keys, some)[where]
                 here = place >= 0
@@ -459,7 +477,19 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
         more = [pa.nulls(len(some), sums.field("doc_id").type), some, np.zeros(len(some), np.int64),
                 added("n_known").astype(np.int64), added("base"), added("weight")]
-        return pa.concat_tables([own.cast(sums), pa.table(more, schema=sums)])
+        both = pa.concat_tables([own.cast(sums), pa.table(more, schema=sums)])
+        both = both.take(np.argsort(both["row"].to_numpy(), kind="stable")).combine_chunks()
+        block = both["row"].to_numpy() >> BLOCK
+        return pa.table(packed(block, *(c.combine_chunks() for c in both.columns)), names=["block", *sums.names])
+
+    def total(block: pa.Table) -> pa.Table:
+        """One row for each text of a block."""
+        columns = {k: block[k].combine_chunks().flatten() for k in sums.names}
+        own = pc.greater(columns["n_tokens"], 0)  # a text has an end at least
+        row, where = np.unique(columns["row"].to_numpy(), return_inverse=True)
+        ids = columns["doc_id"].filter(own).take(np.argsort(columns["row"].filter(own).to_numpy()))
+        added = [np.bincount(where, columns[k].to_numpy(), len(row)) for k in sums.names[2:]]
+        return pa.table([ids, row, *(a.astype(np.int64) for a in added[:2]), *added[2:]], schema=sums)
 
     names = StructType([StructField("doc_id", kind), *numbers])
     packs = StructType.fromDDL("rows array<long>, keys array<long>")
@@ -473,9 +503,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
     known = others.select("key", F.lit(0).alias("n_known"), F.lit(0.0).alias("base"),
                           (F.col("delta") + F.col("back")).alias("weight")).unionByName(words)
     known = known.withColumn("bucket", bucket_column("key", buckets))
-    scored = found.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(add, names)
-    totals = [F.sum(k).alias(k) for k in ("n_tokens", "n_known", "base", "weight")]
-    return scored.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *totals).select(
+    lists_of = [StructField(f.name, ArrayType(f.dataType)) for f in names]
+    parts = found.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
+        add, StructType([StructField("block", LongType()), *lists_of])
+    )
+    return parts.groupBy("block").applyInArrow(total, names).select(
         "doc_id",
         held_out().alias("held_out"),
         "n_tokens",

@@ -220,6 +220,17 @@ def test_scores_do_not_depend_on_the_buckets_of_ngrams(spark, monkeypatch):
     assert [x["b"] for x in same] == suffix_tree.bucket_of(keys, 77).tolist()
 
 
+def test_ngrams_of_a_context_lie_together_unless_it_is_frequent():
+    suffix = suffix_tree.mix(np.arange(1, 5001, dtype=np.uint64))
+    context = np.full(5000, 12345, np.uint64)
+    near = suffix_tree.homes(context, suffix, suffix_tree.NONE)
+    assert len(set(near)) == 1
+    spread = np.array([7, 12345, 99999], np.uint64)
+    assert len(set(suffix_tree.homes(context, suffix, spread))) == suffix_tree.SPREAD
+    bucket, lists = suffix_tree.packed(np.array([0, 0, 3, 3, 3], np.int32), np.arange(5))
+    assert bucket.to_pylist() == [0, 3] and lists.to_pylist() == [[0, 1], [2, 3, 4]]
+
+
 def test_next_word_probabilities_sum_to_one(spark, monkeypatch):
     for name in ("HEAD_SHARE", "PAIR_SHARE", "CONTEXT_SHARE"):
         monkeypatch.setattr(suffix_tree, name, 0.0)
