@@ -14,9 +14,12 @@ suffix, and what backing off from it costs the word after it; a text's score is
 its words' base scores and its n-grams' weights. Levels are built and texts are scored by
 shuffle joins on keys. N-grams travel in packed rows: those that a task has counted or met for
 one of the buckets into which keys are dealt, about BUCKET_TOKENS tokens' worth in each, and a
-bucket is counted, or joined with its weights, at once. Broadcast are caches of bounded size, which change no result: words of
-at least HEAD_SHARE of all tokens, n-grams of at least PAIR_SHARE with their weights, and
-bitmaps of BITS bits that only let through too much. Contexts and suffixes of at least
+bucket is counted, or joined with its weights, at once. Broadcast are caches of bounded size,
+which change no result: the most frequent 1 / HEAD_SHARE words, the most frequent 2 / PAIR_SHARE
+weights, and bitmaps of BITS to MOST_BITS bits that only let through too much. What the caches
+lack is looked up by shuffles, in so many rounds over parts of the texts that one round looks up
+about ROUND_SHARE keys a token. Shuffle files of a step are removed when its rows are stored, so
+the disk holds those of one level or round at a time. Contexts and suffixes of at least
 CONTEXT_SHARE of all tokens, so the hot ones, are looked up in a broadcast too.
 
 Tokens are words between ASCII white space with A-Z in lower case, then one end. Rows whose
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +43,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from liftwise.llm.batches import as_bytes, batch_words, mix, small_batches, stored
+from liftwise.llm import batches as common
+from liftwise.llm.batches import as_bytes, batch_words, mix, small_batches
 
 DEPTH = 3
 HEAD_SHARE = 2.0**-21
@@ -49,7 +53,9 @@ PAIR_SHARE = 2.0**-21
 MIN_COUNT = 8
 DIVERGENCE = 0.01
 DISCOUNT = 0.5
-BITS = 1 << 25
+BITS, MOST_BITS = 1 << 25, 1 << 27
+ROUND_SHARE = 0.3
+SLICES = 4
 END = "\n"  # no word holds it
 FLUSH = 300_000
 # N-grams that a worker holds before it hands them on, and n-grams that it hands on at once:
@@ -135,15 +141,30 @@ def grams(hashes: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray
     return out
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """As in batches; the shuffle files behind the rows are removed when they are written."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return common.stored(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def bitmap(keys: DataFrame) -> np.ndarray:
-    """Which values of key mod BITS occur, as packed bits."""
-    at = F.pmod("key", F.lit(BITS)) + 1  # Spark counts places from 1
+    """Which values of key mod the number of bits occur, as packed bits: BITS of them, or more up
+    to MOST_BITS so that few are set."""
+    bits, rows = BITS, keys.count()
+    while bits < min(16 * rows, MOST_BITS):
+        bits *= 2
+    at = F.pmod("key", F.lit(bits)) + 1  # Spark counts places from 1
     parts = (
         keys.select(at.alias("at"))
         .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     )
-    out = np.zeros(BITS // 8, np.uint8)
+    out = np.zeros(bits // 8, np.uint8)
     for r in parts.collect():
         some = np.frombuffer(bytes(r["bits"]), np.uint8)
         out[(r["bucket"] - 1) * len(some) : r["bucket"] * len(some)] = some
@@ -151,40 +172,62 @@ def bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(BITS - 1)
+    at = keys & np.uint64(8 * len(bits) - 1)
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def least_count(table: DataFrame, share: float) -> float:
+    """A count c that at most 1 / share of the table's rows reach, and as many of them as steps of
+    an eighth of a power of two allow; 0 if all rows may."""
+    steps = table.groupBy(F.floor(F.log2("c") * 8).alias("step")).agg(F.count("*").alias("n"))
+    rows, least = 0, float("inf")
+    for r in sorted(steps.collect(), key=lambda r: -r["step"]):
+        rows += r["n"]
+        if rows * share > 1:
+            return least
+        least = 2.0 ** (r["step"] / 8)
+    return 0.0
+
+
+def gathered(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of a table (key, value) with the sums of their values, fetched in SLICES ranges
+    of keys, so that the driver holds little besides them."""
+    found = []
+    for k in range(SLICES):
+        some = table.where(bucket_column("key", SLICES) == k).toArrow()
+        keys, at = np.unique(some["key"].to_numpy().view(np.uint64), return_inverse=True)
+        found.append((keys, np.bincount(at, some["value"].to_numpy(), len(keys))))
+    keys, sums = (np.concatenate(f) for f in zip(*found, strict=True))
+    return keys, sums
+
+
 class Tree:
-    """What is broadcast: head words with their base log10, the cached n-grams' sorted keys with
-    their weights and the part of them that is the cost of backing off, and bitmaps of the keys
-    with a weight and of the n-grams of each length seen MIN_COUNT times."""
+    """What is broadcast: the cached words' sorted hashes with their base log10, the cached n-grams'
+    sorted keys with their weights, and bitmaps of the other keys with a weight and of the n-grams
+    of each length seen MIN_COUNT times. From `fit`, it also has the part of each weight that is the
+    cost of backing off, and the cached words."""
 
-    def __init__(self, head: dict[str, int], counts: np.ndarray, total: int, distinct: int):
-        self.head = head
+    def __init__(self, total: int, distinct: int):
         self.total, self.distinct = total, distinct
         self.buckets = 1 + total // BUCKET_TOKENS
-        self.base = np.log10((counts + 1) / (total + distinct + 1))
+        self.words, self.base = np.zeros(0, np.uint64), np.zeros(0)
         self.keys, self.weights, self.backs = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
         self.bits = np.zeros(BITS // 8, np.uint8)
         self.levels: list[np.ndarray] = []
-
-    @cached_property
-    def hashes(self) -> np.ndarray:
-        """By head word; the last one is for words that are none."""
-        return np.append(word_hashes([w.encode() for w in self.head]), np.uint64(0))
+        self.least_word = self.least_gram = 0.0
+        self.head: list[str] = []
 
     def ids(self, words: list[str]) -> np.ndarray:
-        get = self.head.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return _find(self.words, word_hashes([w.encode() for w in words]))
 
     def score(self, ids: np.ndarray) -> tuple[float, float, np.ndarray]:
-        """Base and model log10 sums of a text's head words, from cached n-grams; the model sum
-        also holds the cost of backing off before tail words. The text may lack its end: then
+        """Base and model log10 sums of a text's cached words, from cached n-grams; the model sum
+        also holds the cost of backing off before other words. The text may lack its end: then
         no word is read after the last one."""
         known = ids >= 0
         base = total = float(self.base[ids[known]].sum())
-        for n, (keys, inside) in enumerate(grams(self.hashes[ids], DEPTH + 1), 1):
+        hashes = np.append(self.words, np.uint64(0))[ids]
+        for n, (keys, inside) in enumerate(grams(hashes, DEPTH + 1), 1):
             at = _find(self.keys, keys)
             at[~inside] = -1
             total += float(self.weights[at[at >= 0]].sum())
@@ -192,6 +235,14 @@ class Tree:
                 total -= float(self.backs[at[len(ids) - n]])
         return base, total, known
 
+    def rounds(self, missing: int) -> int:
+        """How many parts of the texts are scored one after the other, from how often all that the
+        caches lack occurs in training, and from what the bitmap lets through besides."""
+        if not self.total:
+            return 1
+        beside = DEPTH * int(np.bitwise_count(self.bits).sum()) / (8 * len(self.bits))
+        return 1 + int((missing / self.total + beside) / ROUND_SHARE)
+
 
 def _find(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Places of values in a sorted array, -1 where missing."""
@@ -358,11 +409,11 @@ def fit_tables(train: DataFrame, counts: DataFrame) -> tuple[Tree, DataFrame]:
     """The tree from training texts and their stored word counts, and all n-grams' weights
     (key, c, delta, back); a key may have two rows, whose weights add up."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word")).first()
-    head = counts.where(F.col("c") >= max(1.0, HEAD_SHARE * total)).toPandas()
-    head = head.sort_values(["c", "word"], ascending=[False, True])
-    tree = Tree(
-        {w: i for i, w in enumerate(head["word"])}, head["c"].to_numpy(np.int64), total, distinct
-    )
+    tree = Tree(total, distinct)
+    tree.least_word = least_count(counts, HEAD_SHARE)
+    words = counts.where(F.col("c") >= tree.least_word)
+    tree.words, times = gathered(words.select(F.xxhash64("word").alias("key"), F.col("c").alias("value")))
+    tree.base = np.log10((times + 1) / (total + distinct + 1))
 
     log = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
     below = stored(
@@ -375,16 +426,20 @@ def fit_tables(train: DataFrame, counts: DataFrame) -> tuple[Tree, DataFrame]:
         parts += weights
     tree.levels.append(bitmap(below))
     weights = stored(reduce(DataFrame.unionByName, parts), "weights")
-    cached = weights.where(F.col("c") >= PAIR_SHARE * total).drop("c").toPandas()
-    tree.keys, at = np.unique(cached["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-    tree.backs = np.bincount(at, cached["back"].to_numpy(np.float64), len(tree.keys))
-    tree.weights = tree.backs + np.bincount(at, cached["delta"].to_numpy(np.float64), len(tree.keys))
-    tree.bits = bitmap(weights)
+    tree.least_gram = least_count(weights, PAIR_SHARE / 2)
+    cached = weights.where(F.col("c") >= tree.least_gram)
+    tree.keys, tree.weights = gathered(cached.select("key", (F.col("delta") + F.col("back")).alias("value")))
+    tree.bits = bitmap(weights.where(F.col("c") < tree.least_gram))
     return tree, weights
 
 
 def fit(train: DataFrame, counts: DataFrame) -> Tree:
-    return fit_tables(train, counts)[0]
+    """The tree with all that it takes to score texts on the driver."""
+    tree, weights = fit_tables(train, counts)
+    tree.head = [r["word"] for r in counts.where(F.col("c") >= tree.least_word).collect()]
+    cached = weights.where(F.col("c") >= tree.least_gram)
+    tree.backs = gathered(cached.select("key", F.col("back").alias("value")))[1]
+    return tree
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -395,7 +450,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     train = docs.where(~held_out())
     counts = stored(word_counts(train), "word-counts")
     tree, weights = fit_tables(train, counts)
-    shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(
+        (tree.words, tree.base, tree.keys, tree.weights, tree.bits, tree.levels)
+    )
     buckets = tree.buckets
     floor = float(np.log10(1 / (tree.total + tree.distinct + 1)))
 
@@ -407,10 +464,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows = pa.schema([pa.field("bucket", pa.int32()), *sums, *lists])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each text its own row, with the sums over its head words and cached n-grams and
-        tail words as if none was known; and the keys still to be looked up, with their rows."""
-        tree, held, size = shared.value, [], 0
-        get = tree.head.get
+        """For each text its own row, with the sums over its cached words and n-grams and other
+        words as if none was known; and the keys still to be looked up, with their rows."""
+        known_words, word_base, cached, weights, bits, levels = shared.value
+        word_base, held, size = np.append(word_base, floor), [], 0
 
         def looked_for():
             of, keys = (np.concatenate(h) for h in zip(*held, strict=True))
@@ -425,31 +482,31 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             distinct, places, sizes = batch_words(batch.column(2), lower=True)
-            words = as_bytes(distinct)
-            hashes = np.append(word_hashes(words), END_HASH)
-            ids = np.fromiter((get(w, -1) for w in [*distinct.to_numpy(zero_copy_only=False), END]),
-                              np.int64, len(words) + 1)
-            places = np.insert(places, np.cumsum(sizes), len(words))
+            hashes = np.append(word_hashes(as_bytes(distinct)), END_HASH)
+            order, ids = np.argsort(hashes), np.empty(len(hashes), np.int64)
+            ids[order] = _find(known_words, hashes[order])  # in order, as it stays in the processor's cache
+            places = np.insert(places, np.cumsum(sizes), len(distinct))
             sizes += 1
             hashes, ids = hashes[places], ids[places]
             at_row = np.repeat(np.arange(len(sizes)), sizes)
             known = ids >= 0
             count = np.bincount(at_row, known, len(sizes)).astype(np.int64)
-            base = np.bincount(at_row, np.append(tree.base, floor)[ids], len(sizes))
+            base = np.bincount(at_row, word_base[ids], len(sizes))
             weight = np.zeros(len(sizes))
             row = batch.column(1).to_numpy()
             often = np.ones(len(hashes) + 1, bool)
             for n, (keys, inside) in enumerate(grams(hashes, DEPTH + 1), 1):
                 # What is seen so often has parts seen so often.
-                often = often[:-1] & often[1:] & inside & _passes(tree.levels[n - 1], keys)
-                at = np.flatnonzero(often & _passes(tree.bits, keys))
+                often = often[:-1] & often[1:] & inside & _passes(levels[n - 1], keys)
+                at = np.flatnonzero(often)
                 some, where = np.unique(keys[at], return_inverse=True)
-                place = _find(tree.keys, some)[where]
+                place = _find(cached, some)[where]
                 here = place >= 0
-                weight += np.bincount(at_row[at[here]], tree.weights[place[here]], len(sizes))
+                weight += np.bincount(at_row[at[here]], weights[place[here]], len(sizes))
                 left = at[~here]
+                left = left[_passes(bits, keys[left])]
                 if n == 1:
-                    left = np.union1d(left, np.flatnonzero(~known))  # tail words
+                    left = np.union1d(left, np.flatnonzero(~known))  # other words
                 held.append((row[at_row[left]], keys[left]))
                 size += len(left)
             own = [pa.array((row % buckets).astype(np.int32)), batch.column(0), batch.column(1),
@@ -493,21 +550,29 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     names = StructType([StructField("doc_id", kind), *numbers])
     packs = StructType.fromDDL("rows array<long>, keys array<long>")
-    found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
-        read, StructType([StructField("bucket", IntegerType()), *names, *packs])
-    )
-    few = counts.where(F.col("c") < max(1.0, HEAD_SHARE * tree.total))
-    others = weights.where(F.col("c") < PAIR_SHARE * tree.total)
+    few = counts.where(F.col("c") < tree.least_word)
+    others = weights.where(F.col("c") < tree.least_gram)
     words = few.select(F.xxhash64("word").alias("key"), F.lit(1).alias("n_known"),
                        F.log10(F.col("c") + 1.0).alias("base"), F.lit(0.0).alias("weight"))
     known = others.select("key", F.lit(0).alias("n_known"), F.lit(0.0).alias("base"),
                           (F.col("delta") + F.col("back")).alias("weight")).unionByName(words)
     known = known.withColumn("bucket", bucket_column("key", buckets))
     lists_of = [StructField(f.name, ArrayType(f.dataType)) for f in names]
-    parts = found.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
-        add, StructType([StructField("block", LongType()), *lists_of])
-    )
-    return parts.groupBy("block").applyInArrow(total, names).select(
+
+    def scored(some: DataFrame) -> DataFrame:
+        found = some.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
+            read, StructType([StructField("bucket", IntegerType()), *names, *packs])
+        )
+        parts = found.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
+            add, StructType([StructField("block", LongType()), *lists_of])
+        )
+        return stored(parts.groupBy("block").applyInArrow(total, names), "scores")
+
+    missing = few.select("c").unionByName(others.select("c")).agg(F.coalesce(F.sum("c"), F.lit(0)))
+    rounds = tree.rounds(missing.first()[0])
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    scores = [scored(docs.where(part == k) if rounds > 1 else docs) for k in range(rounds)]
+    return reduce(DataFrame.unionByName, scores).select(
         "doc_id",
         held_out().alias("held_out"),
         "n_tokens",

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -9,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from parity import database, sql_rows
+from pyspark.sql import functions as F
 
 from liftwise.llm import decontaminate, line_dedup, ngram_join, queries, suffix_tree
 from liftwise.llm.components import components, merged
@@ -220,6 +222,66 @@ def test_scores_do_not_depend_on_the_buckets_of_ngrams(spark, monkeypatch):
     assert [x["b"] for x in same] == suffix_tree.bucket_of(keys, 77).tolist()
 
 
+def test_scores_do_not_depend_on_the_rounds_of_lookups(spark, monkeypatch):
+    """What the caches lack is looked up for a part of the texts after the other, so that the disk
+    never holds the lookups of all texts."""
+    r = random.Random(32)
+    rows = [(i, " ".join(f"the {r.choice('abcdefgh')}{r.choice('ij')}" for _ in range(20)), "x") for i in range(120)]
+    rows += [(200, None, "x"), (201, " ", "x"), (None, "the ai", "x"), (None, None, "x"), (1, "the never", "x")]
+    rows += [rows[0], rows[1], (None, None, "x")]
+    for name in ("HEAD_SHARE", "PAIR_SHARE"):
+        monkeypatch.setattr(suffix_tree, name, 0.5)
+    rounds, found = [], []
+    asked = suffix_tree.Tree.rounds
+    monkeypatch.setattr(suffix_tree.Tree, "rounds", lambda *a: rounds.append(asked(*a)) or rounds[-1])
+    for share in (100.0, 0.7):
+        monkeypatch.setattr(suffix_tree, "ROUND_SHARE", share)
+        got = suffix_tree.score_documents(frame(spark, rows)).collect()
+        found.append(sorted((str(x["doc_id"]), x["n_tokens"], x["n_known"], round(x["base_score"], 6),
+                             round(x["score"], 6)) for x in got))
+    assert rounds[0] == 1 and rounds[1] > 2
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_caches_of_scores_are_filled_with_the_most_frequent(spark):
+    """A cache has room for so many rows, whatever share of the corpus each of them has: nothing is
+    looked up by a shuffle that would fit into it."""
+    counts = spark.createDataFrame([(c,) for c in [1] * 50 + [8] * 30 + [9] * 15 + [700] * 3], "c long")
+    for share, cached in ((0.0, 98), (1 / 98, 98), (1 / 97, 48), (1 / 48, 48), (1 / 47, 18), (1 / 17, 3), (0.5, 0)):
+        assert counts.where(counts.c >= suffix_tree.least_count(counts, share)).count() == cached
+    assert suffix_tree.least_count(counts.limit(0), 0.5) == 0
+    rows = [(i, "the rare word is in a text of many other words", "x") for i in range(9)]
+    rows += [(i, " ".join("ab"[i * j % 7 % 2] for j in range(900)), "x") for i in range(100, 300)]
+    train = frame(spark, rows).select("text")
+    tree = suffix_tree.fit(train, suffix_tree.word_counts(train).cache())
+    few = tree.ids(["the", "rare", "word", "is"])
+    assert tree.score(few)[1] > tree.score(few)[0] + 3 and not tree.bits.any() and tree.rounds(0) == 1
+
+
+def test_bitmaps_grow_with_their_keys(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "BITS", 1 << 16)
+    monkeypatch.setattr(suffix_tree, "MOST_BITS", 1 << 18)
+    keys = suffix_tree.mix(np.arange(1, 20_001, dtype=np.uint64))
+    for n, bits in ((100, 1 << 16), (5_000, 1 << 17), (10_000, 1 << 18), (20_000, 1 << 18)):
+        some = spark.createDataFrame([(int(k),) for k in keys[:n].view(np.int64)], "key long")
+        got = suffix_tree.bitmap(some)
+        assert 8 * len(got) == bits and suffix_tree._passes(got, keys[:n]).all()
+        assert int(np.bitwise_count(got).sum()) == len(set((keys[:n] & np.uint64(bits - 1)).tolist()))
+
+
+def test_shuffle_files_are_removed_when_rows_are_stored(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(setting, "false")
+    table = suffix_tree.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "some")
+    assert sorted(r["count"] for r in table.collect()) == [142] * 1 + [143] * 6
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(setting, "false") == was
+
+
 def test_ngrams_of_a_context_lie_together_unless_it_is_frequent():
     suffix = suffix_tree.mix(np.arange(1, 5001, dtype=np.uint64))
     context = np.full(5000, 12345, np.uint64)
