@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from liftwise.operators.learners import UpliftModel
 from liftwise.operators.rank import sorted_by_score
 from liftwise.schemas import KEY, OUTCOME, TREATMENT
+from liftwise.session import materialize
 
 
 def mark_held_out(df: DataFrame, held_out: DataFrame, key: str = KEY) -> DataFrame:
@@ -21,7 +22,8 @@ def mark_held_out(df: DataFrame, held_out: DataFrame, key: str = KEY) -> DataFra
 def score_clients(split: DataFrame, model: UpliftModel, key: str = KEY) -> DataFrame:
     """client_id, uplift, treatment, y, split of every client, best first.
 
-    `split` is the labeled table with its split mark, so scores need no join back.
+    `split` is the labeled table with its split mark, so scores need no join back. They are stored
+    before they are sorted: a range sort reads its rows twice and would score them twice.
     """
     scored = model.transform(split).select(key, "uplift", TREATMENT, OUTCOME, "split")
-    return sorted_by_score(scored, "uplift", key)
+    return sorted_by_score(materialize(scored), "uplift", key)
